@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import io
-import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MASK64 = (1 << 64) - 1
+from ..sources.package import ship
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
@@ -30,22 +27,6 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the package to the executors' Python, once for each application."""
-    sc = spark.sparkContext
-    if getattr(sc, "_arborix_shipped", None):
-        return
-    root = Path(__file__).resolve().parents[1]
-    path = os.path.join(tempfile.mkdtemp(prefix="arborix-"), "arborix_package.zip")
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f"{root.name}/{f.relative_to(root)}")
-    Path(path).write_bytes(data.getvalue())
-    sc.addPyFile(path)
-    sc._arborix_shipped = True
-
-
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors."""
 

@@ -14,29 +14,40 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections import deque
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, n_parts, texts_of
+from .common import Scratch, n_parts, slices, texts_of
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+#: Words of one run of letters that have no other composed form, and then perhaps one run of marks: one or two pieces to the tokenizer.
+_PLAIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+([.,;:!?*#$%&|]*)")
+
+
 class WordIds:
     """Ids of white-space delimited words, remembered up to `most` distinct words.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row."""
+    The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row.
+    New words are encoded together: plain ones in long rows, which are cut again where a piece's last token tells its end."""
 
-    def __init__(self, path: str, most: int = 300_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 600_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.longest = Tokenizer.from_file(path), most, longest
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[k for name, k in names.items() if name.endswith("</w>")]] = True
+        self.rows = bool(self.ends.any())
         self.reset()
 
     def reset(self) -> None:
@@ -44,46 +55,85 @@ class WordIds:
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _add(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for w, e in zip(words, found, strict=True):
-            ids, k = e.ids, len(self.known)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)))
-            if k == len(self.start):
-                self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.start[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[w] = k
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").split()
-        if not words:
-            return np.empty(0, np.uint32)
-        if max(map(len, words)) > self.longest:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if len(self.known) > self.most:
+    def _put(self, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
+        k, n = len(self.known), len(words)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
+        while k + n > len(self.start):
+            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.size[k : k + n] = size
+        self.start[k : k + n] = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        self.known.update(zip(words, range(k, k + n), strict=True))
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.known) + len(words) > self.most:
             self.reset()
-        get = self.known.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        if (at < 0).any():
-            self._add(list(dict.fromkeys(w for w, k in zip(words, at.tolist(), strict=True) if k < 0)))
+        plain, pieces, rest = [], [], []
+        for w in words:
+            if w in self.known:
+                continue
+            m = _PLAIN.fullmatch(text := w.decode("utf-8", "replace")) if self.rows else None
+            if m:
+                plain.append((w, text))
+                pieces.append(2 if m[1] else 1)
+            else:
+                rest.append((w, text))
+        for a in range(0, len(plain), 1000):
+            own, need = plain[a : a + 1000], np.array(pieces[a : a + 1000])
+            ids = np.array(self.tokenizer.encode(" ".join(t for _, t in own), add_special_tokens=False).ids, np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == need.sum():
+                stops = stops[np.cumsum(need) - 1]
+                self._put([w for w, _ in own], ids, np.diff(np.concatenate(([0], stops))))
+            else:
+                rest += own
+        if rest:
+            found = [e.ids for e in self.tokenizer.encode_batch([t for _, t in rest], add_special_tokens=False)]
+            self._put([w for w, _ in rest], np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        split = [r.lower().split() for r in raw]  # the tokenizer lowers letters itself; only special tokens' names could change
+        long = [b"<|" in r or (bool(w) and max(map(len, w)) > self.longest) for r, w in zip(raw, split, strict=True)]
+        new: set[bytes] = set()
+        for words, odd in zip(split, long, strict=True):
+            if not odd:
+                new.update(words)
+        if len(new) > self.most and len(texts) > 1:
+            return [ids for t in texts for ids in self.encode([t])]
+        fresh = new - self.known.keys()
+        self.learn(fresh if len(self.known) + len(fresh) <= self.most else new)
+        out = []
+        for text, words, odd in zip(texts, split, long, strict=True):
+            if odd:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
+                continue
             at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        size = self.size[at]
-        before = np.cumsum(size) - size
-        return self.flat[np.repeat(self.start[at] - before, size) + np.arange(int(size.sum()))]
+            size = self.size[at]
+            before = np.cumsum(size) - size
+            out.append(self.flat[np.repeat(self.start[at] - before, size) + np.arange(int(size.sum()))])
+        return out
+
+
+@lru_cache(maxsize=1)
+def _words(path: str) -> WordIds:
+    """One for each Python worker, so that later tasks know the words of earlier ones."""
+    return WordIds(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """One row per piece of at most `capacity` tokens."""
 
     def cut(batches):
-        words = WordIds(tokenizer)
+        words = _words(tokenizer)
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                ids = np.append(words(text), np.uint32(end_id)).astype("<u4")
+            texts = texts_of(batch)
+            found = (ids for a, b in slices(batch, np.array([len(t) for t in texts]), 2_000_000) for ids in words.encode(texts[a:b]))
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
                     for to, x in zip(rows, (doc, k, at, len(part), zlib.crc32(part.tobytes())), strict=True):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import _BASE, _BASE_INV, Scratch, mix, n_parts, powers, slices
 
-GRAM, SLICE = 32, 1_500_000
+GRAM, HEAD, SLICE = 32, 7, 1_500_000
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -176,66 +176,85 @@ class Bwt:
         inside = np.ones(len(text), bool)
         inside[self.begin + sizes] = False
         text[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-        n, width = len(text), 7
-        room = np.repeat(self.begin + sizes, sizes + 1) - np.arange(n)  # symbols before the terminator
-        key = np.zeros(n, np.uint64)
+        n, width = len(text), HEAD
+        self.room = room = np.repeat(self.begin + sizes, sizes + 1) - np.arange(n)  # symbols before the terminator
+        self.left = np.arange(n) - np.repeat(self.begin, sizes + 1)
+        head = np.zeros(n, np.uint64)
         for k in range(width):
             symbol = np.zeros(n, np.uint64)
             symbol[: n - k] = text[k:]
-            key = (key << np.uint64(9)) | np.where(room > k, symbol, 0).astype(np.uint64)
-        order = np.argsort(key, kind="stable")
-        rank = self._ranks(order, key)
+            symbol[room <= k] = 0
+            head = (head << np.uint64(9)) | symbol
+        self.head = head
+        order = np.argsort(head)
+        rank, ties = np.empty(n, np.int64), np.arange(n)
+        self._rank(rank, order, ties, head[order])
         longest = int(sizes.max(initial=0)) + 1
-        while width < longest and rank[order[-1]] < n - 1:
-            shifted = np.zeros(n, np.int64)
-            shifted[: n - width] = rank[width:] + 1
-            key = (rank << 32 | np.where(room >= width, shifted, 0)).astype(np.int64)
-            order = np.argsort(key, kind="stable")
-            rank = self._ranks(order, key)
+        while width < longest:
+            # only suffixes that still share their rank are sorted again
+            ties = np.flatnonzero(self._shared(rank[order]))
+            if not len(ties):
+                break
+            at = order[ties]
+            key = rank[at] << 32
+            more = room[at] >= width
+            key[more] |= rank[at[more] + width] + 1
+            by = np.argsort(key)
+            order[ties] = at[by]
+            self._rank(rank, order, ties, key[by])
             width *= 2
         self.order = order
-        before = np.where(order > 0, text[order - 1], 0)
-        self.symbols = before.astype(np.uint16)
-        lf = np.empty(n, np.int64)
-        lf[np.argsort(self.symbols, kind="stable")] = np.arange(n)  # the terminators' own order is that of the strings
-        self.lf = lf
+        self.symbols = np.where(order > 0, text[order - 1], 0).astype(np.uint16)
+        place = np.empty(n, np.int32)
+        place[order] = np.arange(n, dtype=np.int32)
+        self.lf = place[order - 1]
 
     @staticmethod
-    def _ranks(order: np.ndarray, key: np.ndarray) -> np.ndarray:
-        sorted_key = key[order]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], sorted_key[1:] != sorted_key[:-1]))) if len(order) else 0
-        return rank
+    def _shared(rank: np.ndarray) -> np.ndarray:
+        same = np.concatenate(([False], rank[1:] == rank[:-1], [False]))
+        return same[:-1] | same[1:]
+
+    @staticmethod
+    def _rank(rank: np.ndarray, order: np.ndarray, places: np.ndarray, key: np.ndarray) -> None:
+        """Give the suffixes at the places of the order, whose keys ascend, the first place of their key as rank."""
+        if len(places):
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+            rank[order[places]] = places[np.flatnonzero(new)][np.cumsum(new) - 1]
 
 
 def merge(shards: list[Bwt], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix, block): the interleave of the shards' suffixes by `depth` bytes, without suffixes that share them with no other.
 
-    Suffixes count through the shards in order; they are places in the shards' orders. Block numbers ascend."""
+    Suffixes count through the shards in order; they are places in the shards' orders. Block numbers ascend.
+    The interleave by HEAD bytes comes from the shards' heads; from there each step refines it by one byte."""
     offsets = np.cumsum([0] + [len(s.order) for s in shards])
     symbols = np.concatenate([s.symbols for s in shards])
-    lf = np.concatenate([s.lf + o for s, o in zip(shards, offsets[:-1], strict=True)])
-    at = np.arange(offsets[-1])
-    block = np.zeros(len(at), np.int64)
-    for _ in range(depth):
-        symbol = symbols[at]
-        inner = symbol > 0
-        if not inner.all():
-            at, block, symbol = at[inner], block[inner], symbol[inner]
-        source = np.argsort((symbol - 1).astype(np.uint8), kind="stable")
-        at, block, symbol = lf[at[source]], block[source], symbol[source]
+    lf = np.concatenate([s.lf + np.int32(o) for s, o in zip(shards, offsets[:-1], strict=True)])
+    first = []  # suffixes that can take all steps to the left, with HEAD bytes to their right
+    for s, o in zip(shards, offsets[:-1], strict=True):
+        first.append(np.flatnonzero(((s.room >= HEAD) & (s.left >= depth - HEAD))[s.order]) + o)
+    at = np.concatenate(first).astype(np.int32)
+    head = np.concatenate([s.head[s.order] for s in shards])[at]
+    by = np.argsort(head)
+    at, head = at[by], head[by]
+    new = np.concatenate(([True], head[1:] != head[:-1], [True])) if len(at) else np.ones(1, bool)
+    at, block = _drop(at, new)
+    for _ in range(depth - HEAD):
         if not len(at):
             break
-        new = np.concatenate(([True], (block[1:] != block[:-1]) | (symbol[1:] != symbol[:-1]), [True]))
-        alone = new[:-1] & new[1:]
-        number = np.cumsum(new[:-1])
-        if alone.any():
-            at, block = at[~alone], number[~alone]
-        else:
-            block = number
+        symbol = symbols[at]
+        source = np.argsort((symbol - np.uint16(1)).astype(np.uint8), kind="stable")
+        at, block, symbol = lf[at[source]], block[source], symbol[source]
+        at, block = _drop(at, np.concatenate(([True], (block[1:] != block[:-1]) | (symbol[1:] != symbol[:-1]), [True])))
     return at, block
 
 
+def _drop(at: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number the blocks and drop those of one suffix; new marks where blocks start, and the end."""
+    stay = ~(new[:-1] & new[1:])
+    return at[stay], np.cumsum(new[:-1], dtype=np.int32)[stay]
+
+
 def repeated(strings: list[bytes], depth: int, shard: int = 1 << 20) -> list[np.ndarray]:
     """Per string the starts of windows of `depth` bytes that start elsewhere in the strings too."""
     sizes = np.array([len(s) for s in strings], np.int64)
@@ -319,7 +338,7 @@ def _rewrite(schema):
     def work(batches):
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            columns = {c: batch.column(c) for c in names}
+            columns = {c: batch.column(c) for c in names if c not in ("text", "n_chars")}
             texts = []
             for old, packed, spans in zip(*(batch.column(c).to_pylist() for c in ("is_null", "z", "spans")), strict=True):
                 raw = z.decompress(packed)

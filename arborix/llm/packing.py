@@ -80,8 +80,8 @@ class WordIds:
                 pieces.append(2 if m[1] else 1)
             else:
                 rest.append((w, text))
-        for a in range(0, len(plain), 1000):
-            own, need = plain[a : a + 1000], np.array(pieces[a : a + 1000])
+        for a in range(0, len(plain), 250):
+            own, need = plain[a : a + 250], np.array(pieces[a : a + 250])
             ids = np.array(self.tokenizer.encode(" ".join(t for _, t in own), add_special_tokens=False).ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == need.sum():
@@ -96,11 +96,14 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         raw = [t.encode("utf-8", "replace") for t in texts]
         split = [r.lower().split() for r in raw]  # the tokenizer lowers letters itself; only special tokens' names could change
-        long = [b"<|" in r or (bool(w) and max(map(len, w)) > self.longest) for r, w in zip(raw, split, strict=True)]
+        long = [b"<|" in r for r in raw]
         new: set[bytes] = set()
         for words, odd in zip(split, long, strict=True):
             if not odd:
                 new.update(words)
+        if over := {w for w in new if len(w) > self.longest}:  # texts with a very long word are encoded whole
+            long = [odd or not over.isdisjoint(words) for odd, words in zip(long, split, strict=True)]
+            new = set().union(*(words for words, odd in zip(split, long, strict=True) if not odd))
         if len(new) > self.most and len(texts) > 1:
             return [ids for t in texts for ids in self.encode([t])]
         fresh = new - self.known.keys()

@@ -10,6 +10,8 @@ Exact copies (same words) form a class first, and one representative of each goe
 members are held against pivots rather than each other: first against the member that shares
 most buckets with others, then, while a bucket holds several components, against the best
 members of the other components. A small bucket compares all members of different components.
+What large buckets leave is settled exactly: every member outside its bucket's largest component
+is held against all members of other components whose number of shingles allows a link.
 """
 
 from __future__ import annotations
@@ -122,6 +124,27 @@ def _verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, threshold: floa
     return out
 
 
+def _mixed(scratch: Scratch, live: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with their component."""
+    marked = live.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
+    return scratch.save(marked.join(mixed, "key", "left_semi"))
+
+
+def _rest(marked: DataFrame, threshold: float, salts: int = 16) -> DataFrame:
+    """(rep, pivot) of members of different components in a bucket, the pivot outside its largest component.
+
+    A Jaccard of the threshold needs sizes whose ratio is no less, so other pairs are left out;
+    pivots are dealt over salts, so that a large bucket is no single task."""
+    largest = marked.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("component", F.struct("m", -F.col("component"))).alias("largest"))
+    loose = marked.join(largest, "key").where("component != largest")
+    loose = loose.select("key", F.pmod(F.xxhash64("rep"), F.lit(salts)).alias("salt"), F.col("rep").alias("pivot"), F.col("component").alias("other"), F.col("n_shingles").alias("size")).alias("p")
+    every = marked.select("key", "rep", "component", "n_shingles", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt")).alias("m")
+    least, most = F.least("m.n_shingles", "p.size"), F.greatest("m.n_shingles", "p.size")
+    allowed = (F.col("m.key") == F.col("p.key")) & (F.col("m.salt") == F.col("p.salt")) & (F.col("m.component") != F.col("p.other")) & (least * 1_000_000 >= most * round(threshold * 1_000_000))
+    return every.join(loose, allowed).select("m.rep", "p.pivot")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, rows: int = 4, small: int = 48, rounds: int = 4) -> DataFrame:
     """(doc_id, class_id, component_id, n_links, kept) for each doc_id of docs (doc_id, text).
 
@@ -135,7 +158,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, ro
     classes = signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     held = signed.where("n_shingles > 0").join(classes, ["k1", "k2"])
     member = scratch.save(held.groupBy("doc_id").agg(F.min("rep").alias("class_id")).unionByName(signed.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id")).distinct()))
-    spots = held.where("doc_id = rep").select("rep", F.explode("bands").alias("key")).distinct()
+    spots = held.where("doc_id = rep").select("rep", "n_shingles", F.explode("bands").alias("key")).distinct()
     sizes = spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     live = scratch.save(spots.join(sizes, "key"))
     degree = live.groupBy("rep").agg(F.sum("n").alias("degree"))
@@ -148,9 +171,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, ro
     links = _verify(scratch, docs, tested, threshold)
     found = scratch.save(components(scratch, links))
     for _ in range(rounds - 1):
-        marked = live.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-        marked = scratch.save(marked.join(mixed, "key", "left_semi"))
+        marked = _mixed(scratch, live, found)
         pivots = marked.groupBy("key", "component", "n").agg(best, F.max("degree").alias("d"))
         # of each component of a bucket its best member; in a large bucket the two best components' only
         large = pivots.where(F.col("n") > small).groupBy("key").agg(F.slice(F.reverse(F.array_sort(F.collect_set(F.struct("d", "pivot", "component")))), 1, 2).alias("top")).select("key", F.explode("top").alias("t")).select("key", "t.pivot", F.col("t.component").alias("other"))
@@ -166,6 +187,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, ro
             break
         links = links.unionByName(more)
         found = scratch.save(components(scratch, links))
+    pairs = scratch.save(ordered(_rest(_mixed(scratch, live.where(F.col("n") > small), found), threshold)).join(tested, ["a", "b"], "left_anti"))
+    if not pairs.isEmpty():
+        more = _verify(scratch, docs, pairs, threshold)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = scratch.save(components(scratch, links))
     counts = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
     groups = found.join(counts, "id", "left").select(F.col("id").alias("class_id"), "component", "n_links")
     out = member.join(groups, "class_id", "left")

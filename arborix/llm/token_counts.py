@@ -50,13 +50,14 @@ def attribute(start: np.ndarray, end: np.ndarray, bounds: np.ndarray) -> tuple[n
 def count(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """A row for each section of each row (doc_id, text).
 
-    A null or empty text has one empty section without tokens; repeated rows are counted each."""
+    A null or empty text has one empty section without tokens; a null doc_id stays null and
+    repeated rows are counted each."""
 
     def work(batches):
         encoder = Encoder(vocabulary, pattern)
         for batch in batches:
             out: list[list[np.ndarray]] = [[] for _ in range(7)]
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
+            for row, text in enumerate(texts_of(batch)):
                 raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
                 bounds = np.flatnonzero(raw == 10) + 1
                 if not len(bounds) or bounds[-1] != len(raw):
@@ -65,10 +66,11 @@ def count(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
                 owner, cross = attribute(start, end, bounds)
                 chars = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))[bounds]
                 n = len(bounds)
-                for to, x in zip(out, (np.full(n, -1 if doc is None else doc), np.arange(n), np.concatenate(([0], chars[:-1])), chars, np.bincount(owner, minlength=n), np.bincount(owner[cross], minlength=n), np.full(n, len(start))), strict=True):
+                for to, x in zip(out, (np.full(n, row), np.arange(n), np.concatenate(([0], chars[:-1])), chars, np.bincount(owner, minlength=n), np.bincount(owner[cross], minlength=n), np.full(n, len(start))), strict=True):
                     to.append(x)
             names = ["doc_id", "section", "start_char", "end_char", "n_tokens", "n_crossing", "doc_tokens"]
             columns = [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32 if k == "section" else np.int64)) for k, c in zip(names, columns, strict=True)], names)
+            arrays = [pa.array(c.astype(np.int32 if k == "section" else np.int64)) for k, c in zip(names, columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(arrays[0]), *arrays[1:]], names)
 
     return docs.select("doc_id", "text").mapInArrow(work, SCHEMA)

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arborix.llm import decontaminate, html_text, langid, licenses, minhash, packing, quality, queries, suffix_dedup, token_counts, vector_graph
 from arborix.llm.suffix_dedup import Bwt, merge, repeated
@@ -93,6 +94,8 @@ def test_token_counts(spark):
         assert own[0]["start_char"] == 0 and own[-1]["end_char"] == len(t)
         assert all(t[r["start_char"] : r["end_char"]].count("\n") <= 1 for r in own)
     owner, cross = token_counts.attribute(np.array([0, 3, 5]), np.array([3, 5, 9]), np.array([4, 6, 9]))
+    unnamed = token_counts.count(spark.createDataFrame([(None, "a\nb"), (3, "c")], "doc_id long, text string"), vocabulary, pattern).collect()
+    assert [r["doc_id"] for r in unnamed].count(None) == 2 and len(unnamed) == 3
     assert owner.tolist() == [0, 0, 2] and cross.tolist() == [False, True, True]  # a tie goes to the earlier section
 
 
@@ -238,19 +241,8 @@ def test_language(spark):
 # ---- 7 ----------------------------------------------------------------------------------------------------------
 
 
-def test_minhash(spark):
-    r = random.Random(7)
-    base = [prose(r, 120).split() for _ in range(6)]
-    texts = [*ODD]
-    for b in base:
-        texts.append(" ".join(b))
-        texts += [" ".join(b).upper()] * 2
-        for _ in range(14):
-            own = list(b)
-            for _ in range(r.randint(1, 4)):
-                own[r.randrange(len(own))] = f"z{r.randint(0, 10**6)}"
-            texts.append(" ".join(own))
-    got = all_rows(minhash.near_duplicates(docs_of(spark, texts, True)))
+def components_by_pairs(texts):
+    """The smallest row that links of Jaccard 0.8 or more reach, from all pairs."""
     words = [re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower()) for t in texts]
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
     parent = list(range(len(texts)))
@@ -265,11 +257,49 @@ def test_minhash(spark):
             if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 a, b = sorted((top(i), top(j)))
                 parent[b] = a
-    assert len(got) == len(texts) and {k: r["component_id"] for k, r in got.items()} == {k: top(k) for k in range(len(texts))}
+    return {k: top(k) for k in range(len(texts))}
+
+
+def test_minhash(spark):
+    r = random.Random(7)
+    base = [prose(r, 120).split() for _ in range(6)]
+    texts = [*ODD]
+    for b in base:
+        texts.append(" ".join(b))
+        texts += [" ".join(b).upper()] * 2
+        for _ in range(14):
+            own = list(b)
+            for _ in range(r.randint(1, 4)):
+                own[r.randrange(len(own))] = f"z{r.randint(0, 10**6)}"
+            texts.append(" ".join(own))
+    got = all_rows(minhash.near_duplicates(docs_of(spark, texts, True)))
+    assert len(got) == len(texts) and {k: r["component_id"] for k, r in got.items()} == components_by_pairs(texts)
     assert all(r["kept"] == (r["component_id"] == k) for k, r in got.items())
     assert minhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_minhash_large_buckets(spark, rounds):
+    """Buckets of several components, all of them large, lose no link: documents share a long passage and come in pairs."""
+    r = random.Random(8)
+    shared = prose(r, 60)
+    texts = []
+    for _ in range(40):
+        own = prose(r, 30).split()
+        texts += [f"{shared} {' '.join(own)}", f"{shared} {' '.join(own[:-2])} end", " ".join(own)]
+    got = all_rows(minhash.near_duplicates(docs_of(spark, texts), small=0, rounds=rounds))
+    assert {k: r["component_id"] for k, r in got.items()} == components_by_pairs(texts)
+
+
+def test_rest_of_large_buckets(spark):
+    """All pairs of members of different components, of sizes that allow a link, in every bucket."""
+    r = random.Random(9)
+    rows = [(key, rep, r.choice([1, 1, 1, 2, 3, rep]), r.randint(10, 14)) for key in range(5) for rep in range(100, 130)]
+    got = {(x["key"], *sorted((x["rep"], x["pivot"]))) for x in minhash._rest(spark.createDataFrame(rows, "key long, rep long, component long, n_shingles long"), 0.8).withColumn("key", F.lit(0)).collect()}
+    want = {(0, a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[2] != b[2] and 5 * min(a[3], b[3]) >= 4 * max(a[3], b[3])}
+    assert got == want
+
+
 def test_probability_jaccard():
     r = np.random.default_rng(1)
     ids = np.unique(r.integers(0, 2**63, 400, dtype=np.int64).astype(np.uint64))

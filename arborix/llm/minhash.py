@@ -10,8 +10,8 @@ Exact copies (same words) form a class first, and one representative of each goe
 members are held against pivots rather than each other: first against the member that shares
 most buckets with others, then, while a bucket holds several components, against the best
 members of the other components. A small bucket compares all members of different components.
-What large buckets leave is settled exactly: every member outside its bucket's largest component
-is held against all members of other components whose number of shingles allows a link.
+What large buckets leave is settled exactly: over all members of large buckets that still hold
+several components, an exact prefix filter finds the pairs of different components that can link.
 """
 
 from __future__ import annotations
@@ -111,11 +111,16 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "set"])
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, set) of the documents that ids (id) name, one row for each."""
+    rows = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+    return rows.mapInArrow(_sets, "id long, set array<int>").dropDuplicates(["id"])
+
+
 def _verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """Those of pairs (a, b) whose shingle sets have a Jaccard of the threshold or more."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
-    sets = scratch.save(rows.mapInArrow(_sets, "id long, set array<int>").dropDuplicates(["id"]))
+    sets = scratch.save(_sets_of(docs, ids))
     a, b = sets.select(F.col("id").alias("a"), F.col("set").alias("x")), sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("t"))
     # i / (t - i) >= threshold, free of rounding for thresholds of up to six places
@@ -131,18 +136,36 @@ def _mixed(scratch: Scratch, live: DataFrame, found: DataFrame) -> DataFrame:
     return scratch.save(marked.join(mixed, "key", "left_semi"))
 
 
-def _rest(marked: DataFrame, threshold: float, salts: int = 16) -> DataFrame:
-    """(rep, pivot) of members of different components in a bucket, the pivot outside its largest component.
-
-    A Jaccard of the threshold needs sizes whose ratio is no less, so other pairs are left out;
-    pivots are dealt over salts, so that a large bucket is no single task."""
-    largest = marked.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("component", F.struct("m", -F.col("component"))).alias("largest"))
-    loose = marked.join(largest, "key").where("component != largest")
-    loose = loose.select("key", F.pmod(F.xxhash64("rep"), F.lit(salts)).alias("salt"), F.col("rep").alias("pivot"), F.col("component").alias("other"), F.col("n_shingles").alias("size")).alias("p")
-    every = marked.select("key", "rep", "component", "n_shingles", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt")).alias("m")
-    least, most = F.least("m.n_shingles", "p.size"), F.greatest("m.n_shingles", "p.size")
-    allowed = (F.col("m.key") == F.col("p.key")) & (F.col("m.salt") == F.col("p.salt")) & (F.col("m.component") != F.col("p.other")) & (least * 1_000_000 >= most * round(threshold * 1_000_000))
-    return every.join(loose, allowed).select("m.rep", "p.pivot")
+def _exact(scratch: Scratch, docs: DataFrame, marked: DataFrame, threshold: float, salts: int = 8, many: int = 256) -> DataFrame:
+    """(rep, pivot) of all members of different components whose Jaccard can be the threshold: a prefix filter.
+
+    A set's shingles are put in order, the rarest among these members first. Two sets that reach the threshold share
+    one of the first n - ceil(threshold n) + 1 shingles of the larger and of the first
+    n - ceil(2 threshold n / (1 + threshold)) + 1 of the smaller, and at the first that they share, what is left of
+    both sets is still enough. A shingle of one member alone only counts as a place. Shingles that many members
+    have in their prefix are dealt over salts."""
+    t = round(threshold * 1_000_000)
+    sets = scratch.save(_sets_of(docs, marked.select(F.col("rep").alias("id")).distinct()))
+    grams = sets.select("id", F.array_distinct("set").alias("set")).select("id", F.size("set").cast("long").alias("n"), F.explode("set").alias("e"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n))
+    dealt = F.pmod(F.xxhash64("id"), F.lit(salts))
+    common = grams.groupBy("e").agg(F.count("*").alias("df")).where("df > 1").withColumn("salt", spread(F.lit(salts - 1).cast("long")))
+    lists = grams.withColumn("salt", dealt).join(common, ["e", "salt"]).groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("own"))
+    alone = F.col("n") - F.size("own")
+    long, short = F.col("n") - F.expr(f"(n * {t} + 999999) div 1000000") + 1, F.col("n") - F.expr(f"(2 * n * {t} + {t + 999_999}) div {1_000_000 + t}") + 1
+    prefix = lists.select("id", "n", alone.alias("alone"), short.alias("short"), F.posexplode(F.slice("own", F.lit(1), F.greatest(F.lit(0), long - alone).cast("int"))).alias("k", "own"))
+    of = marked.select(F.col("rep").alias("id"), "component").distinct()
+    posts = scratch.save(prefix.select("id", "n", (F.col("alone") + F.col("k")).alias("place"), "short", F.col("own.e").alias("e")).join(of, "id"))
+    scratch.drop(sets)
+    sizes = posts.groupBy("e").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("e", "m")
+    held = scratch.save(posts.join(sizes, "e"))
+    large = F.col("m") > many
+    x = held.where("place < short").withColumn("salt", F.when(large, dealt).otherwise(0)).alias("x")
+    y = held.withColumn("salt", spread(F.when(large, F.lit(salts - 1)).otherwise(0).cast("long"))).alias("y")
+    left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # this shingle counts too
+    enough = left * (1_000_000 + t) >= (F.col("x.n") + F.col("y.n")) * t
+    allowed = (F.col("x.e") == F.col("y.e")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.n") <= F.col("y.n")) & (F.col("x.n") * 1_000_000 >= F.col("y.n") * t) & enough
+    return x.join(y, allowed).select(F.col("x.id").alias("rep"), F.col("y.id").alias("pivot"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, rows: int = 4, small: int = 48, rounds: int = 4) -> DataFrame:
@@ -187,7 +210,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, ro
             break
         links = links.unionByName(more)
         found = scratch.save(components(scratch, links))
-    pairs = scratch.save(ordered(_rest(_mixed(scratch, live.where(F.col("n") > small), found), threshold)).join(tested, ["a", "b"], "left_anti"))
+    pairs = scratch.save(ordered(_exact(scratch, docs, _mixed(scratch, live.where(F.col("n") > small), found), threshold)).join(tested, ["a", "b"], "left_anti"))
     if not pairs.isEmpty():
         more = _verify(scratch, docs, pairs, threshold)
         if not more.isEmpty():

@@ -291,13 +291,23 @@ def test_minhash_large_buckets(spark, rounds):
     assert {k: r["component_id"] for k, r in got.items()} == components_by_pairs(texts)
 
 
-def test_rest_of_large_buckets(spark):
-    """All pairs of members of different components, of sizes that allow a link, in every bucket."""
+@pytest.mark.parametrize("many", [2, 256])
+def test_exact_pairs(spark, many):
+    """The prefix filter keeps every pair of members of different components that reaches the threshold, and no pair of one component."""
     r = random.Random(9)
-    rows = [(key, rep, r.choice([1, 1, 1, 2, 3, rep]), r.randint(10, 14)) for key in range(5) for rep in range(100, 130)]
-    got = {(x["key"], *sorted((x["rep"], x["pivot"]))) for x in minhash._rest(spark.createDataFrame(rows, "key long, rep long, component long, n_shingles long"), 0.8).withColumn("key", F.lit(0)).collect()}
-    want = {(0, a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[2] != b[2] and 5 * min(a[3], b[3]) >= 4 * max(a[3], b[3])}
-    assert got == want
+    shared, texts = prose(r, 80).split(), ["one two", "one two", "one two three four five"]
+    for k in range(60):
+        own = shared[: 20 + k] + [f"w{r.randint(0, 40)}" for _ in range(r.randint(0, 12))]
+        texts += [" ".join(own), " ".join([*own, *prose(r, r.randint(1, 12)).split()])]
+    component = {k: r.choice([0, k, k, k]) for k in range(len(texts))}
+    docs = docs_of(spark, texts, True).select("doc_id", "text")
+    marked = spark.createDataFrame([(key, k, c) for k, c in component.items() for key in (1, 2)], "key long, rep long, component long")
+    scratch = minhash.Scratch(spark, "test")
+    got = {tuple(sorted((x["rep"], x["pivot"]))) for x in minhash._exact(scratch, docs, marked, 0.8, many=many).collect()}
+    sets = [set(minhash.shingles([t])[1].tolist()) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if component[i] != component[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert len(want) > 200 and want <= got and all(component[i] != component[j] for i, j in got)
+    assert len(got) < len(texts) * (len(texts) - 1) // 2
 
 
 def test_probability_jaccard():

@@ -111,16 +111,19 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "set"])
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, set) of the documents that ids (id) name, one row for each."""
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+def _sets_of(scratch: Scratch, docs: DataFrame, ids: DataFrame, most: int = 4_000_000) -> DataFrame:
+    """(id, set) of the documents that ids (id) name, one row for each.
+
+    Up to `most` ids (64 MB as a table of longs) are broadcast, so that no text is shuffled; more are joined by shuffle."""
+    ids = scratch.save(ids)
+    rows = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if ids.count() <= most else ids, "id")
     return rows.mapInArrow(_sets, "id long, set array<int>").dropDuplicates(["id"])
 
 
 def _verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """Those of pairs (a, b) whose shingle sets have a Jaccard of the threshold or more."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = scratch.save(_sets_of(docs, ids))
+    sets = scratch.save(_sets_of(scratch, docs, ids))
     a, b = sets.select(F.col("id").alias("a"), F.col("set").alias("x")), sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("t"))
     # i / (t - i) >= threshold, free of rounding for thresholds of up to six places
@@ -145,7 +148,7 @@ def _exact(scratch: Scratch, docs: DataFrame, marked: DataFrame, threshold: floa
     both sets is still enough. A shingle of one member alone only counts as a place. Shingles that many members
     have in their prefix are dealt over salts."""
     t = round(threshold * 1_000_000)
-    sets = scratch.save(_sets_of(docs, marked.select(F.col("rep").alias("id")).distinct()))
+    sets = scratch.save(_sets_of(scratch, docs, marked.select(F.col("rep").alias("id")).distinct()))
     grams = sets.select("id", F.array_distinct("set").alias("set")).select("id", F.size("set").cast("long").alias("n"), F.explode("set").alias("e"))
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n))
     dealt = F.pmod(F.xxhash64("id"), F.lit(salts))

@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import deque
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,12 @@ _PLAIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+([.,;:!?*#$%&|]*)")
 
 
 class WordIds:
-    """Ids of white-space delimited words, remembered up to `most` distinct words.
+    """Ids of white-space delimited words, remembered up to about `most` distinct words; when full, those seen in several texts stay.
 
     The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row.
     New words are encoded together: plain ones in long rows, which are cut again where a piece's last token tells its end."""
 
-    def __init__(self, path: str, most: int = 600_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 1_000_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -53,14 +54,27 @@ class WordIds:
     def reset(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.start, self.size, self.hits = (np.zeros(1 << 14, np.int64) for _ in range(3))
+
+    def _forget(self, room: int) -> None:
+        """Keep at most `room` words, those of the most texts, and none of a single text."""
+        n = len(self.known)
+        kept = np.flatnonzero(self.hits[:n] > 1)
+        if len(kept) > room:
+            kept = np.sort(kept[np.argsort(-self.hits[kept], kind="stable")[:room]])
+        words, start, size, hits, flat = list(self.known), self.start[kept], self.size[kept], self.hits[kept], self.flat
+        self.reset()
+        if len(kept):
+            at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            self._put([words[k] for k in kept.tolist()], flat[at], size)
+            self.hits[: len(kept)] = hits // 2  # what was common long ago may go later
 
     def _put(self, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
         k, n = len(self.known), len(words)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
         while k + n > len(self.start):
-            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
+            self.start, self.size, self.hits = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size, self.hits))
         self.flat[self.used : self.used + len(ids)] = ids
         self.size[k : k + n] = size
         self.start[k : k + n] = self.used + np.cumsum(size) - size
@@ -69,7 +83,7 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > self.most:
-            self.reset()
+            self._forget(max(0, min(self.most // 2, self.most - len(words))))
         plain, pieces, rest = [], [], []
         for w in words:
             if w in self.known:
@@ -93,27 +107,35 @@ class WordIds:
             found = [e.ids for e in self.tokenizer.encode_batch([t for _, t in rest], add_special_tokens=False)]
             self._put([w for w, _ in rest], np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64))
 
+    def _look(self, words: list[bytes]) -> np.ndarray:
+        """The places of words, -1 for what isn't known."""
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         raw = [t.encode("utf-8", "replace") for t in texts]
         split = [r.lower().split() for r in raw]  # the tokenizer lowers letters itself; only special tokens' names could change
         long = [b"<|" in r for r in raw]
-        new: set[bytes] = set()
-        for words, odd in zip(split, long, strict=True):
-            if not odd:
-                new.update(words)
+        places = [self._look([] if odd else words) for words, odd in zip(split, long, strict=True)]
+        new = {words[k] for words, at in zip(split, places, strict=True) for k in np.flatnonzero(at < 0).tolist()}
         if over := {w for w in new if len(w) > self.longest}:  # texts with a very long word are encoded whole
             long = [odd or not over.isdisjoint(words) for odd, words in zip(long, split, strict=True)]
+            new -= over
+        if full := len(self.known) + len(new) > self.most:
             new = set().union(*(words for words, odd in zip(split, long, strict=True) if not odd))
-        if len(new) > self.most and len(texts) > 1:
-            return [ids for t in texts for ids in self.encode([t])]
-        fresh = new - self.known.keys()
-        self.learn(fresh if len(self.known) + len(fresh) <= self.most else new)
+            if len(new) > self.most and len(texts) > 1:
+                return [ids for t in texts for ids in self.encode([t])]
+        self.learn(new)
         out = []
-        for text, words, odd in zip(texts, split, long, strict=True):
+        for text, words, at, odd in zip(texts, split, places, long, strict=True):
             if odd:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            if full:  # what was known has other places now
+                at = self._look(words)
+            else:
+                miss = np.flatnonzero(at < 0)
+                at[miss] = self._look([words[k] for k in miss.tolist()])
+            self.hits[at] += 1  # a text counts once
             size = self.size[at]
             before = np.cumsum(size) - size
             out.append(self.flat[np.repeat(self.start[at] - before, size) + np.arange(int(size.sum()))])

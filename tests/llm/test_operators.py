@@ -322,6 +322,19 @@ def test_probability_jaccard():
 # ---- 8 ----------------------------------------------------------------------------------------------------------
 
 
+def test_word_ids_when_full():
+    """What a full memory keeps and forgets doesn't change a text's ids."""
+    from tokenizers import Tokenizer
+
+    r = random.Random(12)
+    path = queries._vocabulary("word_bpe_49k.json")
+    words, tokenizer = packing.WordIds(path, most=40), Tokenizer.from_file(path)
+    for _ in range(60):
+        texts = [" ".join([prose(r, 6), *(f"{prose(r, 1)}{r.choice('éàßx')}{r.randint(0, 99)}" for _ in range(r.randint(0, 20)))]) for _ in range(3)]
+        assert [x.tolist() for x in words.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(words.known) <= 80
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 

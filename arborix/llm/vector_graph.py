@@ -6,6 +6,11 @@ neighbour only if no kept neighbour is much nearer to it. The shards' adjacency
 Then every vector is searched for in its shards over the united lists: a greedy search from the medoid
 finds its surroundings, and the search range expands from every vector within the threshold to
 its neighbours until none is new. What is found is verified in double precision.
+
+Centers stand at least twice the threshold's angle apart, so a dense group of near copies has one
+center, however many of its vectors were sampled, and all its members are dealt to it. A shard that
+grows large that way has no graph: all its pairs are compared exactly, block by block, and come out
+as counts and components, since a dense group has too many links to list.
 """
 
 from __future__ import annotations
@@ -148,6 +153,75 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(ids), pa.array(lists, pa.list_(pa.int64()))], names=["id", "near"])
 
 
+def spread(x: np.ndarray, most_cosine: float) -> np.ndarray:
+    """Those of unit vectors x that are no nearer than most_cosine to one kept before them."""
+    kept = np.empty_like(x)
+    n = 0
+    for v in x:
+        if not n or (kept[:n] @ v).max() < most_cosine:
+            kept[n] = v
+            n += 1
+    return kept[:n]
+
+
+def _lists(column, pad: int) -> np.ndarray:
+    """Lists of numbers as rows, filled with pad."""
+    rows = column.to_pylist()
+    out = np.full((len(rows), max(1, max((len(r or ()) for r in rows), default=1))), pad, np.int64)
+    for i, r in enumerate(rows):
+        out[i, : len(r or ())] = r or ()
+    return out
+
+
+def _roots(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the connected component of each row and column, -1 where nothing is hit."""
+    of_row, of_column, live = np.full(hit.shape[0], -1), np.full(hit.shape[1], -1), hit.any(axis=1)
+    for k in np.flatnonzero(live):
+        if of_row[k] >= 0:
+            continue
+        rows = np.array([k])
+        while len(rows):
+            of_row[rows] = k
+            columns = np.flatnonzero(hit[rows].any(axis=0) & (of_column < 0))
+            of_column[columns] = k
+            rows = np.flatnonzero(hit[:, columns].any(axis=1) & (of_row < 0))
+    return of_row, of_column
+
+
+def _blocks(threshold: float):
+    """Of two blocks of a large shard the vectors with links: links' weight and the smallest id of the component in these blocks."""
+
+    def work(table: pa.Table) -> pa.Table:
+        ids, x, n = np.asarray(table.column("id")), _matrix(table.column("v")), np.asarray(table.column("n"))
+        block, lo, hi = np.asarray(table.column("block")), table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        shard = table.column("shard")[0].as_py()
+        before = _lists(table.column("large"), -1)
+        before[before >= shard] = -1  # large shards that settle a pair before this one does
+        a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        hit = np.zeros((len(a), len(b)), bool)
+        for i in range(0, len(a), 512):
+            own = a[i : i + 512]
+            good = x[own] @ x[b].T >= threshold
+            for k in range(before.shape[1]):
+                for m in range(before.shape[1]):
+                    good &= (before[own, k][:, None] != before[b, m][None]) | (before[own, k][:, None] < 0)
+            hit[i : i + 512] = good
+        if lo == hi:
+            np.fill_diagonal(hit, False)
+        weight = np.concatenate((hit @ n[b], n[a] @ hit if lo != hi else np.zeros(0, np.int64)))
+        who = np.concatenate((ids[a], ids[b] if lo != hi else np.zeros(0, np.int64)))
+        of_row, of_column = _roots(hit | np.eye(len(a), dtype=bool) if lo == hi else hit)
+        group = np.concatenate((of_row, of_column if lo != hi else np.zeros(0, np.int64)))
+        live = weight > 0
+        weight, who, group = weight[live], who[live], group[live]
+        kinds, at = np.unique(group, return_inverse=True)
+        least = np.full(len(kinds), np.iinfo(np.int64).max)
+        np.minimum.at(least, at, who)
+        return pa.table([pa.array(who, pa.int64()), pa.array(weight, pa.int64()), pa.array(least[at], pa.int64())], names=["id", "others", "root"])
+
+    return work
+
+
 def _search(threshold: float):
     def work(table: pa.Table) -> pa.Table:
         ids, x = np.asarray(table.column("id")), _matrix(table.column("v"))
@@ -162,6 +236,9 @@ def _search(threshold: float):
         graph[row[here], (np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size))[here]] = order[at[here]]
         medoid = int((x @ x.mean(axis=0)).argmax())
         pairs = within(x, graph, medoid, threshold)
+        large = _lists(table.column("large"), -1)
+        x, y = large[pairs[:, 0]][:, :, None], large[pairs[:, 1]][:, None]
+        pairs = pairs[~((x == y) & (x >= 0)).any(axis=(1, 2))]  # else settled, and counted, in a large shard
         a, b = ids[pairs[:, 0]], ids[pairs[:, 1]]
         return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -174,8 +251,9 @@ def valid(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).where(F.exists(v, lambda x: x != 0))
 
 
-def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, overlap: int, most_centers: int) -> DataFrame:
-    """Distinct pairs (a, b) of classes (label, v, id) found with a cosine of the threshold or more."""
+def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, overlap: int, most_centers: int, block: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b) of classes (label, v, id, n) found with a cosine of the threshold or more, and the links of
+    large shards' pairs, not among those, as (id, others, root): members n linked to id, and an id that links reach."""
     spark = classes.sparkSession
     counts = {(r["label"], r["d"]): r["n"] for r in classes.groupBy("label", F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}  # a row for each label
     total = sum(counts.values())
@@ -184,7 +262,7 @@ def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, ov
     centers: dict[tuple, list] = {}
     for r in taken:
         centers.setdefault((r["label"], len(r["v"])), []).append(r["v"])
-    held = spark.sparkContext.broadcast({k: _unit(np.array(v, float)) for k, v in centers.items()})  # at most 4 * most_centers vectors
+    held = spark.sparkContext.broadcast({k: spread(_unit(np.array(v, float)), 2 * threshold**2 - 1) for k, v in centers.items()})  # at most 4 * most_centers vectors
 
     def deal(batches):
         for batch in batches:
@@ -207,10 +285,18 @@ def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, ov
             yield pa.RecordBatch.from_arrays([take.column("id"), take.column("label"), take.column("v"), pa.array([len(vectors[i]) for i in row], pa.int32()), pa.array(to, pa.int32())], ["id", "label", "v", "d", "shard"])
 
     dealt = scratch.save(classes.select("id", "label", F.col("v").cast("array<double>").alias("v")).mapInArrow(deal, "id long, label long, v array<double>, d int, shard int"))
-    lists = dealt.groupBy("label", "d", "shard").applyInArrow(_build, "id long, near array<long>")
+    key = ["label", "d", "shard"]
+    crowded = scratch.save(dealt.groupBy(*key).agg(F.count("*").alias("m")).where(F.col("m") > 4 * shard).select(*key, F.ceil(F.col("m") / block).alias("blocks")))
+    some = dealt.join(crowded, key)
+    large = scratch.save(some.groupBy("id").agg(F.collect_set("shard").alias("large")))  # at most overlap each
+    own = some.join(large, "id").join(classes.select("id", "n"), "id").select("id", *key, F.col("v").cast("array<float>").alias("v"), "n", "large", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    counted = scratch.save(own.drop("other", "blocks").groupBy(*key, "lo", "hi").applyInArrow(_blocks(threshold), "id long, others long, root long"))
+    usual = dealt.join(crowded, key, "left_anti")
+    lists = usual.groupBy(*key).applyInArrow(_build, "id long, near array<long>")
     united = lists.select("id", F.explode("near").alias("x")).groupBy("id").agg(F.collect_set("x").alias("near"))  # at most overlap * DEGREE each
-    full = dealt.join(united, "id", "left").withColumn("near", F.coalesce("near", F.array().cast("array<long>")))
-    return full.groupBy("label", "d", "shard").applyInArrow(_search(threshold), "a long, b long").distinct()
+    full = usual.join(united, "id", "left").join(large, "id", "left").withColumn("near", F.coalesce("near", F.array().cast("array<long>")))
+    return scratch.save(full.groupBy(*key).applyInArrow(_search(threshold), "a long, b long").distinct()), counted
 
 
 def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard: int = 700, overlap: int = 4, most_centers: int = 4096) -> DataFrame:
@@ -225,11 +311,12 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard: int = 700,
     good = valid(own)
     classes = scratch.save(good.groupBy("label", F.col("embedding").alias("v")).agg(F.min("vec_id").alias("id"), F.count("*").alias("n")))
     member = good.join(classes, (good["label"] == classes["label"]) & (good["embedding"] == classes["v"])).select("vec_id", "id", "n")
-    found = scratch.save(links(scratch, classes, threshold, shard, overlap, most_centers))
+    found, counted = links(scratch, classes, threshold, shard, overlap, most_centers)
     size = classes.select("id", "n")
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(size.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("n").alias("others")).withColumnRenamed("a", "id")
-    groups = components(scratch, found)
+    others = both.join(size.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), F.col("n").alias("others"))
+    others = others.unionByName(counted.select("id", "others")).groupBy("id").agg(F.sum("others").alias("others"))
+    groups = components(scratch, found.unionByName(counted.select(F.col("root").alias("a"), F.col("id").alias("b"))))
     joined = member.join(others, "id", "left").join(groups, "id", "left").select("vec_id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     out = own.select("vec_id").join(joined, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -401,6 +401,42 @@ def test_vectors(spark):
     assert vector_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_dense_vectors(spark):
+    """Thousands of noisy near copies lose no link, beside other vectors that have few."""
+    r = np.random.default_rng(11)
+    base = r.normal(size=(401, 32))
+    x = np.concatenate((base[:1] + r.normal(size=(3000, 32)) * 0.2, base[1:], base[1:] + r.normal(size=(400, 32)) * 0.1)).astype(np.float32)
+    df = spark.createDataFrame([(k, v, 1) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    got = all_rows(vector_graph.near_duplicates(df, shard=100), "vec_id")
+    u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    link = u @ u.T >= 0.93
+    np.fill_diagonal(link, False)
+    n = np.array([got[k]["n_links"] for k in range(len(x))])
+    assert link[:3000].sum() > 3000 * 1000 and n[:3000].tolist() == link[:3000].sum(axis=1).tolist()
+    assert 0.9 * link[3000:].sum() <= n[3000:].sum() and (n <= link.sum(axis=1)).all()
+    assert {got[k]["component_id"] for k in np.flatnonzero(link[0]).tolist()} == {0}
+
+
+@pytest.mark.parametrize("block", [64, 4096])
+def test_large_shards(spark, block):
+    """Large shards that overlap count each pair once, whatever the blocks."""
+    r = np.random.default_rng(12)
+    base = r.normal(size=(12, 8))
+    x = (base[r.integers(0, 12, 600)] + r.normal(size=(600, 8)) * 0.25).astype(np.float32)
+    rows = spark.createDataFrame([(k, v, 1, k % 3 + 1) for k, v in enumerate(x.tolist())], "id long, v array<float>, label long, n long")
+    found, counted = vector_graph.links(vector_graph.Scratch(spark, "test"), rows, 0.93, 20, 4, 4096, block)
+    n, size, pairs = np.zeros(600, int), np.arange(600) % 3 + 1, found.collect()
+    for a, b in pairs:
+        n[a] += size[b]
+        n[b] += size[a]
+    for c in counted.collect():
+        n[c["id"]] += c["others"]
+    u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    link = u @ u.T >= 0.93
+    np.fill_diagonal(link, False)
+    assert counted.count() > 0 and (n <= link @ size).all() and n.sum() >= 0.99 * (link @ size).sum()
+
+
 # ---- pipeline ---------------------------------------------------------------------------------------------------
 
 

@@ -4,8 +4,9 @@ A mask keeps some places of a window of words and ignores the rest, so a substit
 ignored place doesn't hide the window. The masked windows of benchmark items and documents are
 hashed and joined; every hit fixes a diagonal (document place minus item place), and along it the
 words of the item and of the document are compared one by one. A document is contaminated by an
-item if on one diagonal `need` words agree and at least half of the words from the first
-to the last of those agree; need is half of the item's words, at least 8 and at most 13.
+item if on one diagonal there is a run in which `need` words agree and at least half of the words from
+the first to the last of those; need is half of the item's words, at least 8 and at most 13. A word that
+agrees by chance far from a passage is left out of its run.
 """
 
 from __future__ import annotations
@@ -51,13 +52,17 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shift = F.greatest(-F.col("diagonal"), F.lit(0))
     # the parts start at the same place of both; item words before it hang over the document's start
     same = F.filter(F.sequence(F.lit(0), F.least(F.size("part"), F.size("words") - shift) - 1), lambda i: F.col("part")[i] == F.col("words")[i + shift])
-    both = both.select("doc_id", "item_id", "diagonal", F.size("words").alias("n_item"), same.alias("same"))
-    both = both.select(
-        "doc_id", "item_id", "n_item", F.size("same").cast("int").alias("n_match"), (F.element_at("same", -1) - F.element_at("same", 1) + 1).cast("int").alias("n_span"),
-        (F.greatest(F.col("diagonal"), F.lit(0)) + F.element_at("same", 1)).cast("int").alias("first_word"),
-    )
     need = F.least(F.lit(13), F.greatest(F.lit(8), F.ceil(F.col("n_item") / 2)))
-    good = both.where((F.col("n_match") >= need) & (F.col("n_match") * 2 >= F.col("n_span")))
+    both = both.select("doc_id", "item_id", "diagonal", F.size("words").alias("n_item"), same.alias("same")).where(F.size("same") >= need)
+    # of the runs of agreeing words in which at least half of the words agree that of most, the first on a tie
+    last, at = F.size("same") - 1, F.col("same")
+    ends = lambda a: F.array_max(F.transform(F.sequence(a, last), lambda b: F.when((b - a + 1) * 2 >= at[b] - at[a] + 1, F.struct((b - a + 1).alias("n"), (-a).alias("a")))))
+    run = both.select("doc_id", "item_id", "diagonal", "n_item", "same", F.array_max(F.transform(F.sequence(F.lit(0), last), ends)).alias("run"))
+    first, end = at[-F.col("run.a")], at[F.col("run.n") - F.col("run.a") - 1]
+    good = run.where(F.col("run.n") >= need).select(
+        "doc_id", "item_id", "n_item", F.col("run.n").cast("int").alias("n_match"), (end - first + 1).cast("int").alias("n_span"),
+        (F.greatest(F.col("diagonal"), F.lit(0)) + first).cast("int").alias("first_word"),
+    )
     best = F.max_by(F.struct("n_match", "n_span", "n_item", "first_word"), F.struct("n_match", -F.col("first_word"))).alias("best")
     return good.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 

@@ -123,6 +123,27 @@ def test_decontaminate(spark):
     assert decontaminate.find(docs_of(spark, []), bench).count() == 0
 
 
+def test_decontaminate_excerpts(spark):
+    """Verbatim excerpts among common words are found whatever agrees by chance elsewhere on their diagonal."""
+    r = random.Random(13)
+    items = [prose(r, 50).split() for _ in range(20)]
+    texts, want = [], set()
+    for k, item in enumerate(items):
+        for n in (13, 15, 18):
+            a = r.randrange(16, 50 - n)
+            around = [prose(r, 1) for _ in range(120)]
+            around[30 + a : 30 + a + n] = item[a : a + n]
+            around[30] = item[0]
+            want.add((len(texts), k))
+            texts.append(" ".join(around))
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x for x in decontaminate.find(docs_of(spark, texts), bench).collect()}
+    assert want <= set(got) and len(got) < 1.1 * len(want)
+    assert all(2 * x["n_match"] >= x["n_span"] and x["n_match"] >= 13 for x in got.values())
+    clean = docs_of(spark, [prose(r, 300) for _ in range(40)])
+    assert decontaminate.find(clean, bench).count() == 0
+
+
 # ---- 4 ----------------------------------------------------------------------------------------------------------
 
 

@@ -37,8 +37,8 @@ def _letters(seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base
 
 
-def vector(text: str) -> np.ndarray | None:
-    """The bundled trigram vector of a whole text as a unit vector; None without a letter."""
+def _trigrams(text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Distinct trigrams and their times; None without a letter."""
     s = _symbols()[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
     if not s.any():
         return None
@@ -46,8 +46,15 @@ def vector(text: str) -> np.ndarray | None:
     s = s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))]
     if len(s) < 3:
         s = np.concatenate((s, np.zeros(3 - len(s), np.int32)))
-    codes = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-    kinds, counts = np.unique(codes, return_counts=True)
+    return np.unique((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], return_counts=True)
+
+
+def vector(text: str) -> np.ndarray | None:
+    """The bundled trigram vector of a whole text as a unit vector; None without a letter."""
+    found = _trigrams(text)
+    if found is None:
+        return None
+    kinds, counts = found
     a, b, c = _letters()
     out = np.zeros(DIMS, np.float32)
     for i in range(0, len(kinds), 2048):
@@ -58,17 +65,29 @@ def vector(text: str) -> np.ndarray | None:
     return out / norm if norm else None
 
 
-def fit(docs: DataFrame, per_lang: int = 4000) -> tuple[list[str], np.ndarray]:
-    """Prototypes from rows (doc_id, text, lang) with a lang; of each lang about `per_lang` rows at most, taken by a hash of doc_id.
+def size_class(text: str) -> int:
+    """The bits of the number of trigrams that a text has in effect: one word repeated is as short as the word."""
+    found = _trigrams(text)
+    return 0 if found is None else int(found[1].sum() ** 2 // (found[1].astype(np.int64) ** 2).sum()).bit_length()
 
-    The sample bounds the work of learning, not what is scored."""
-    spark = docs.sparkSession
+
+def _sample(docs: DataFrame, per_lang: int) -> DataFrame | None:
+    """Rows with a lang and a text, of each lang about per_lang at most; None if there are none."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not counts:
-        return [], np.zeros((0, DIMS))
+        return None
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, per_lang / n) * 1_000_000)))])
-    taken = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
+
+
+def fit(docs: DataFrame, per_lang: int = 4000) -> tuple[list[str], np.ndarray]:
+    """Prototypes from rows (doc_id, text, lang) with a lang; of each lang about `per_lang` rows at most, taken by a hash of doc_id.
+
+    The sample bounds the work of learning, not what is scored."""
+    taken = _sample(docs, per_lang)
+    if taken is None:
+        return [], np.zeros((0, DIMS))
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
@@ -105,13 +124,36 @@ def predict(docs: DataFrame, names: list[str], protos: np.ndarray, held_out=None
     return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep(docs: DataFrame, names: list[str], protos: np.ndarray, least: float) -> DataFrame:
-    """Those rows of docs (with a column text) that have a language with a cosine of `least` or more; all their columns."""
+def floors(docs: DataFrame, names: list[str], protos: np.ndarray, least: float, low: float = 0.001, slack: float = 0.8, enough: int = 10, per_lang: int = 4000) -> list[float]:
+    """The least cosine that a text of each size class needs: slack times the low quantile of the learned texts of that class.
+
+    A class of fewer than `enough` learned texts takes the next shorter one's, the shortest take `least`."""
+    taken = _sample(docs, per_lang) if len(names) else None
+    found: dict[int, tuple[int, float]] = {}
+    if taken is not None:
+
+        def score(batches):
+            for batch in batches:
+                texts = [(t, v) for t in texts_of(batch) if (v := vector(t)) is not None]
+                yield pa.RecordBatch.from_arrays([pa.array([size_class(t) for t, _ in texts], pa.int32()), pa.array([float((protos @ v.astype(np.float64)).max()) for _, v in texts], pa.float64())], ["size", "cosine"])
+
+        rows = taken.select("text").mapInArrow(score, "size int, cosine double").groupBy("size").agg(F.count("*").alias("n"), F.percentile("cosine", low).alias("q"))
+        found = {r["size"]: (r["n"], r["q"]) for r in rows.collect()}  # a row for each size class
+    out = [least]
+    for k in range(1, 33):
+        n, q = found.get(k, (0, 0.0))
+        out.append(max(least, slack * q) if n >= enough else out[-1])
+    return out
+
+
+def keep(docs: DataFrame, names: list[str], protos: np.ndarray, least: list[float]) -> DataFrame:
+    """Those rows of docs (with a column text) that have a language with a cosine of their size class's `least` or more; all their columns."""
 
     def work(batches):
         for batch in batches:
-            found = [vector(t) if len(names) else None for t in texts_of(batch)]
-            yield batch.filter(pa.array([v is not None and float((protos @ v.astype(np.float64)).max()) >= least for v in found], pa.bool_()))
+            texts = texts_of(batch)
+            found = [vector(t) if len(names) else None for t in texts]
+            yield batch.filter(pa.array([v is not None and float((protos @ v.astype(np.float64)).max()) >= least[size_class(t)] for t, v in zip(texts, found, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
 

@@ -259,6 +259,21 @@ def test_language(spark):
     assert langid.identify(docs_of(spark, [])).count() == 0
 
 
+def test_unlearned_languages(spark):
+    """Language ID drops texts in languages and scripts that were not learned, and keeps nearly all others."""
+    import corpus_pipeline
+
+    r = random.Random(14)
+    docs = spark.read.parquet(f"{DATA.replace('0.001', '0.01')}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    alien = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+             "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."]
+    for a, b in ((0x430, 0x44F), (0x4E00, 0x9FFF), (0x3B1, 0x3C9), (97, 122)):
+        alien += [" ".join("".join(chr(r.randint(a, b)) for _ in range(r.randint(2, 9))) for _ in range(200)) for _ in range(10)]
+    more = spark.createDataFrame([(10**9 + k, t, None, "s", len(t)) for k, t in enumerate(alien)], docs.schema)
+    kept = [x["doc_id"] for x in corpus_pipeline.language(spark, docs.unionByName(more), DATA).select("doc_id").collect()]
+    assert all(d < 10**9 for d in kept) and len(kept) >= 0.99 * docs.count()
+
+
 # ---- 7 ----------------------------------------------------------------------------------------------------------
 
 

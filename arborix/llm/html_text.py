@@ -145,19 +145,18 @@ def _common(a: str, b: str) -> int:
 
 
 class _Page:
-    __slots__ = ("host", "path", "page_id", "url", "lines", "kinds", "hashes", "main", "halo")
+    __slots__ = ("host", "path", "page_id", "url", "lines", "kinds", "hashes", "halo")
 
     def __init__(self, host, path, page_id, url, page, halo):
         self.host, self.path, self.page_id, self.url, self.halo = host, path, page_id, url, halo
         self.lines, self.kinds = lines_of(page or "")
         self.hashes = [zlib.crc32(x.encode("utf-8", "replace")) << 32 | len(x) for x in self.lines]
-        self.main = bool((self.kinds == 1).any())
 
     def row(self, before, after):
         near = [x for x in (before, after) if x is not None and x.host == self.host]
         other = max(near, key=lambda x: _common(x.path, self.path), default=None)
         same = shared(self.hashes, other.hashes) if other else np.zeros(len(self.lines), bool)
-        keep = (self.kinds == 1) | ((self.kinds == 0) & ~same & (not self.main))
+        keep = (self.kinds == 1) | ((self.kinds == 0) & ~same)
         text = "\n".join(x for x, k in zip(self.lines, keep.tolist(), strict=True) if k)
         return self.page_id, self.url, text, len(text), int(same.sum()), other.page_id if other else None
 

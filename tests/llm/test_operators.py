@@ -53,6 +53,13 @@ def test_html(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_beside_article(spark):
+    """Lines outside a page's article go only if its neighbour shares them."""
+    rows = [(k, f"http://h/{k}", page(f"<div>lead {k}</div><article><p>teaser</p></article><div>body {k}</div><div>template</div>")) for k in (1, 2)]
+    got = all_rows(html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    assert {k: r["text"] for k, r in got.items()} == {k: f"lead {k}\nteaser\nbody {k}" for k in (1, 2)}
+
+
 def test_lcs():
     r = random.Random(1)
     for _ in range(200):

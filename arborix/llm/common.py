@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +18,13 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where none is set and all tasks run on this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="arborix-")
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -43,9 +46,20 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def save_by(self, df: DataFrame, column: str) -> DataFrame:
+        """The table in buckets of a column's hash, as many as shuffles have partitions, so that joins on the column don't shuffle it."""
+        self.n += 1
+        path, name = f"{self.base}/{self.n}", f"arborix_{uuid.uuid4().hex}"
+        df.write.bucketBy(n_parts(self.spark), column).option("path", path).saveAsTable(name)
+        out = self.spark.table(name)
+        out._scratch_path, out._scratch_table = path, name
+        return out
+
     def drop(self, *frames: DataFrame) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for df in frames:
+            if table := getattr(df, "_scratch_table", None):
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(conf).delete(path, True)
 
@@ -69,6 +83,13 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def portions(batches, rows: int = 512):
+    """Batches of at most so many rows, so that few texts are held as Python objects at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def slices(batch: pa.RecordBatch, lengths: np.ndarray, most: int):
     """Row ranges of a batch whose lengths sum to about most; a longer row stands alone."""
     start, total = 0, 0
@@ -90,6 +111,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> np.ndarray:
+    return powers(base, n)
+
+
+def powers_to(base: int, n: int) -> np.ndarray:
+    """The first n powers, from a kept table whose size is a power of two."""
+    return _powers(base, 1 << max(12, n.bit_length()))[:n]
+
+
 def powers(base: int, n: int) -> np.ndarray:
     out = np.empty(n + 1, np.uint64)
     out[0] = 1

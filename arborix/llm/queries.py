@@ -37,7 +37,7 @@ def op4_license_scan(spark, sf_dir):
 
 
 def op5_suffix_dedup(spark, sf_dir):
-    return suffix_dedup.dedup(read(spark, sf_dir, "documents")).drop("th", "kept")
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents")).drop("kept")
 
 
 def op6_quality(spark, sf_dir):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, slices, texts_of, word_hashes
+from .common import Scratch, mix, n_parts, portions, slices, texts_of, word_hashes
 from .components import components
 
 WORDS = 5
@@ -75,11 +75,11 @@ def signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int
 
 
 def _sign(bands: int, rows: int):
-    names = ["doc_id", "k1", "k2", "n_shingles", "bands"]
+    names = ["doc_id", "k1", "k2", "n_shingles", "bands", "set"]
 
     def work(batches):
-        for whole in batches:
-            for a, b in slices(whole, np.array([len(t) for t in texts_of(whole)]), 3_000_000):
+        for whole in portions(batches):
+            for a, b in slices(whole, np.array([len(t) for t in texts_of(whole)]), 500_000):
                 batch = whole.slice(a, b - a)
                 texts, n = texts_of(batch), batch.num_rows
                 text, element, times = shingles(texts)
@@ -96,39 +96,22 @@ def _sign(bands: int, rows: int):
                         band = mix(band * np.uint64(0x9E3779B97F4A7C15) + sig[:, r * bands : (r + 1) * bands] + np.arange(bands, dtype=np.uint64))
                 count = np.bincount(text, minlength=n)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(band.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys[0]), pa.array(keys[1]), pa.array(count), lists], names)
+                ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+                own = pa.ListArray.from_arrays(pa.array(ends), pa.array(element.astype(np.uint32).view(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys[0]), pa.array(keys[1]), pa.array(count), lists, own], names)
 
     return work
 
 
-def _sets(batches):
-    for whole in batches:
-        for a, b in slices(whole, np.array([len(t) for t in texts_of(whole)]), 3_000_000):
-            batch = whole.slice(a, b - a)
-            text, element, _ = shingles(texts_of(batch))
-            ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=batch.num_rows)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(element.astype(np.uint32).view(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "set"])
-
-
-def _sets_of(scratch: Scratch, docs: DataFrame, ids: DataFrame, most: int = 4_000_000) -> DataFrame:
-    """(id, set) of the documents that ids (id) name, one row for each.
-
-    Up to `most` ids (64 MB as a table of longs) are broadcast, so that no text is shuffled; more are joined by shuffle."""
-    ids = scratch.save(ids)
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if ids.count() <= most else ids, "id")
-    return rows.mapInArrow(_sets, "id long, set array<int>").dropDuplicates(["id"])
-
-
-def _verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Those of pairs (a, b) whose shingle sets have a Jaccard of the threshold or more."""
+def _verify(scratch: Scratch, sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Those of pairs (a, b) whose shingle sets, among sets (id, set), have a Jaccard of the threshold or more."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = scratch.save(_sets_of(scratch, docs, ids))
-    a, b = sets.select(F.col("id").alias("a"), F.col("set").alias("x")), sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
+    some = scratch.save(sets.join(ids, "id", "left_semi"))
+    a, b = some.select(F.col("id").alias("a"), F.col("set").alias("x")), some.select(F.col("id").alias("b"), F.col("set").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("t"))
     # i / (t - i) >= threshold, free of rounding for thresholds of up to six places
     out = scratch.save(both.where(F.col("i").cast("long") * (1_000_000 + round(threshold * 1_000_000)) >= F.col("t").cast("long") * round(threshold * 1_000_000)).select("a", "b"))
-    scratch.drop(sets)
+    scratch.drop(some)
     return out
 
 
@@ -139,7 +122,7 @@ def _mixed(scratch: Scratch, live: DataFrame, found: DataFrame) -> DataFrame:
     return scratch.save(marked.join(mixed, "key", "left_semi"))
 
 
-def _exact(scratch: Scratch, docs: DataFrame, marked: DataFrame, threshold: float, salts: int = 8, many: int = 256) -> DataFrame:
+def _exact(scratch: Scratch, sets: DataFrame, marked: DataFrame, threshold: float, salts: int = 8, many: int = 256) -> DataFrame:
     """(rep, pivot) of all members of different components whose Jaccard can be the threshold: a prefix filter.
 
     A set's shingles are put in order, the rarest among these members first. Two sets that reach the threshold share
@@ -148,8 +131,8 @@ def _exact(scratch: Scratch, docs: DataFrame, marked: DataFrame, threshold: floa
     both sets is still enough. A shingle of one member alone only counts as a place. Shingles that many members
     have in their prefix are dealt over salts."""
     t = round(threshold * 1_000_000)
-    sets = scratch.save(_sets_of(scratch, docs, marked.select(F.col("rep").alias("id")).distinct()))
-    grams = sets.select("id", F.array_distinct("set").alias("set")).select("id", F.size("set").cast("long").alias("n"), F.explode("set").alias("e"))
+    some = scratch.save(sets.join(marked.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"))
+    grams = some.select("id", F.array_distinct("set").alias("set")).select("id", F.size("set").cast("long").alias("n"), F.explode("set").alias("e"))
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n))
     dealt = F.pmod(F.xxhash64("id"), F.lit(salts))
     common = grams.groupBy("e").agg(F.count("*").alias("df")).where("df > 1").withColumn("salt", spread(F.lit(salts - 1).cast("long")))
@@ -159,7 +142,7 @@ def _exact(scratch: Scratch, docs: DataFrame, marked: DataFrame, threshold: floa
     prefix = lists.select("id", "n", alone.alias("alone"), short.alias("short"), F.posexplode(F.slice("own", F.lit(1), F.greatest(F.lit(0), long - alone).cast("int"))).alias("k", "own"))
     of = marked.select(F.col("rep").alias("id"), "component").distinct()
     posts = scratch.save(prefix.select("id", "n", (F.col("alone") + F.col("k")).alias("place"), "short", F.col("own.e").alias("e")).join(of, "id"))
-    scratch.drop(sets)
+    scratch.drop(some)
     sizes = posts.groupBy("e").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("e", "m")
     held = scratch.save(posts.join(sizes, "e"))
     large = F.col("m") > many
@@ -172,58 +155,62 @@ def _exact(scratch: Scratch, docs: DataFrame, marked: DataFrame, threshold: floa
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, rows: int = 4, small: int = 48, rounds: int = 4) -> DataFrame:
-    """(doc_id, class_id, component_id, n_links, kept) for each doc_id of docs (doc_id, text).
+    """(doc_id, class_id, component_id, kept) for each doc_id of docs (doc_id, text).
 
-    class_id is the smallest doc_id with the same words, component_id the smallest that links reach,
-    n_links the verified links of the class with other classes; kept marks one document per component.
+    class_id is the smallest doc_id with the same words, component_id the smallest that links reach;
+    kept marks one document per component. Links between classes of one component aren't listed or counted.
     Texts without words (null and empty too) link with nothing and are kept. Rows that repeat a doc_id
-    count as one document. An empty table gives no row; further columns are ignored."""
+    count as one document, rows without a doc_id as well; a caller that has such rows gives them keys of their own, as
+    the pipeline does. An empty table gives no row; further columns are ignored."""
     scratch = Scratch(docs.sparkSession, "minhash")
     docs = docs.select("doc_id", "text")
-    signed = scratch.save(docs.mapInArrow(_sign(bands, rows), "doc_id long, k1 long, k2 long, n_shingles long, bands array<long>"))
+    # shingle sets are made once, and lie in buckets of doc_id, so that no later step shuffles all of them
+    signed = scratch.save_by(docs.mapInArrow(_sign(bands, rows), "doc_id long, k1 long, k2 long, n_shingles long, bands array<long>, set array<int>").repartition(n_parts(docs.sparkSession), "doc_id"), "doc_id")
+    sets = signed.select(F.col("doc_id").alias("id"), "set").dropDuplicates(["id"])
     classes = signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    held = signed.where("n_shingles > 0").join(classes, ["k1", "k2"])
+    held = signed.where("n_shingles > 0").drop("set").join(classes, ["k1", "k2"])
     member = scratch.save(held.groupBy("doc_id").agg(F.min("rep").alias("class_id")).unionByName(signed.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id")).distinct()))
     spots = held.where("doc_id = rep").select("rep", "n_shingles", F.explode("bands").alias("key")).distinct()
     sizes = spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     live = scratch.save(spots.join(sizes, "key"))
     degree = live.groupBy("rep").agg(F.sum("n").alias("degree"))
     live = scratch.save(live.join(degree, "rep"))
-    scratch.drop(signed)
 
     best = F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("pivot")
     ordered = lambda p: p.where("rep != pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
     tested = scratch.save(ordered(live.join(live.groupBy("key").agg(best), "key")))
-    links = _verify(scratch, docs, tested, threshold)
+    links = _verify(scratch, sets, tested, threshold)
     found = scratch.save(components(scratch, links))
     for _ in range(rounds - 1):
         marked = _mixed(scratch, live, found)
         pivots = marked.groupBy("key", "component", "n").agg(best, F.max("degree").alias("d"))
         # of each component of a bucket its best member; in a large bucket the two best components' only
-        large = pivots.where(F.col("n") > small).groupBy("key").agg(F.slice(F.reverse(F.array_sort(F.collect_set(F.struct("d", "pivot", "component")))), 1, 2).alias("top")).select("key", F.explode("top").alias("t")).select("key", "t.pivot", F.col("t.component").alias("other"))
+        place = F.struct("d", "pivot", "component")
+        wide = pivots.where(F.col("n") > small)
+        top = wide.groupBy("key").agg(F.max(place).alias("t"))
+        second = wide.join(top, "key").where("component != t.component").groupBy("key").agg(F.max(place).alias("t"))
+        large = top.unionByName(second).select("key", "t.pivot", F.col("t.component").alias("other"))
         some = marked.where(F.col("n") > small).join(large, "key").where("component != other")
         few = marked.where(F.col("n") <= small)
         every = few.join(few.select("key", F.col("rep").alias("pivot"), F.col("component").alias("other")), "key").where("component < other")
         pairs = scratch.save(ordered(some.select("rep", "pivot").unionByName(every.select("rep", "pivot"))).join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             break
-        more = _verify(scratch, docs, pairs, threshold)
+        more = _verify(scratch, sets, pairs, threshold)
         tested = tested.unionByName(pairs)
         if more.isEmpty():
             break
         links = links.unionByName(more)
         found = scratch.save(components(scratch, links))
-    pairs = scratch.save(ordered(_exact(scratch, docs, _mixed(scratch, live.where(F.col("n") > small), found), threshold)).join(tested, ["a", "b"], "left_anti"))
+    pairs = scratch.save(ordered(_exact(scratch, sets, _mixed(scratch, live.where(F.col("n") > small), found), threshold)).join(tested, ["a", "b"], "left_anti"))
     if not pairs.isEmpty():
-        more = _verify(scratch, docs, pairs, threshold)
+        more = _verify(scratch, sets, pairs, threshold)
         if not more.isEmpty():
             links = links.unionByName(more)
             found = scratch.save(components(scratch, links))
-    counts = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
-    groups = found.join(counts, "id", "left").select(F.col("id").alias("class_id"), "component", "n_links")
-    out = member.join(groups, "class_id", "left")
+    out = member.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
     component = F.coalesce("component", "class_id")
-    return out.select("doc_id", "class_id", component.alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("doc_id") == component).alias("kept"))
+    return out.select("doc_id", "class_id", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
 def recall(bands: int, rows: int, similarity: float) -> float:

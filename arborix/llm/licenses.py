@@ -3,7 +3,9 @@
 The automaton holds every run of tokens of every template. A file is streamed through it once and
 gives matching statistics (the longest template run that ends at each word); maximal matches of
 `least` words or more are chained in order per template into covered template spans, and a
-template whose covered share reaches `share` gives its label.
+template whose covered share reaches `share` gives its label if a match of the chain tells it apart: a run
+of words that stands in templates of one family of licences only. Words that many licences
+share ("released under the", "without warranty of any kind") give no label.
 """
 
 from __future__ import annotations
@@ -15,27 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import texts_of
+from .common import portions, texts_of
+from .license_texts import FAMILY, LEADS, NAMES, TEXTS
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: The phrases and labels of the base.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Label and text of each template; a label may have several.
-TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl", "gnu lesser general public license as published by the free software foundation"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("reserved", "all rights reserved"),
-]
+#: Label and text of each template: whole licences and notices, and one-line notices of each name, with and without "the".
+TEMPLATES = [*TEXTS, *((label, f"{lead} {the}{name}") for label, name in NAMES for lead in LEADS for the in ("", "the "))]
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans string"
 
 
@@ -103,31 +92,37 @@ class Automaton:
 
 class Scanner:
     def __init__(self, templates=None, least: int = 3, share: float = 0.6, gap: int = 40):
-        self.templates = [(label, text.split()) for label, text in (templates or TEMPLATES)]
+        self.templates = list(dict.fromkeys((label, tuple(w.decode() for w in WORD.findall(text.lower().encode()))) for label, text in (templates or TEMPLATES)))
+        self.family = [FAMILY.get(label, label) for label, _ in self.templates]
         self.least, self.share, self.gap = least, share, gap
         phrases = [(p.split(), label) for p, label in BASE.items()]
         self.ids = {w.encode(): k for k, w in enumerate(dict.fromkeys(w for words in [*(t for _, t in self.templates), *(p for p, _ in phrases)] for w in words))}
         self.base = [([self.ids[w.encode()] for w in p], label) for p, label in phrases]
         coded = [[self.ids[w.encode()] for w in t] for _, t in self.templates]
         self.automaton = Automaton(coded)
+        self.telling = [len({self.family[k] for k in at}) == 1 for at in self.automaton.at]
         self.pair = np.zeros((len(self.ids) + 1, len(self.ids) + 1), bool)
         for t in coded:
             self.pair[t[:-1], t[1:]] = True
 
     def _chain(self, found: list[tuple[int, int, int]]) -> dict[int, tuple[int, list]]:
-        """Per template the covered words of the best chain, and its (first word, words, template place)."""
+        """Per template with a telling match the covered words of the best chain, and its (first word, words, template place, telling).
+
+        A match can follow any that ends within `gap` words before it; ends ascend with starts, so no other is looked at."""
         per: dict[int, list] = {}
+        told = {k for _, _, state in found if self.telling[state] for k in self.automaton.at[state]}
         for first, n, state in found:
             for k, end in self.automaton.at[state].items():
-                per.setdefault(k, []).append((first, n, end - n + 1))
+                if k in told:
+                    per.setdefault(k, []).append((first, n, end - n + 1, self.telling[state]))
         out = {}
         for k, hits in per.items():
             hits.sort()
             best = []
-            for i, (first, n, place) in enumerate(hits):
+            for i, (first, n, place, _) in enumerate(hits):
                 value, back = n, -1
-                for j in range(i - 1, max(-1, i - 1 - 4 * len(self.templates[k][1])), -1):
-                    f, m, p = hits[j]
+                for j in range(i - 1, -1, -1):
+                    f, m, p, _ = hits[j]
                     if first - (f + m) > self.gap:
                         break
                     extra = n - max(0, f + m - first, p + m - place)
@@ -167,10 +162,12 @@ class Scanner:
         score, more, spans = 0.0, set(), []
         for k, (value, chain) in sorted(self._chain(found).items()):
             covered = min(1.0, value / len(self.templates[k][1]))
+            if not any(tells for *_, tells in chain):
+                continue
             score = max(score, covered)
             if covered >= self.share:
                 more.add(self.templates[k][0])
-                spans.append(f"{self.templates[k][0]}@{chain[0][0]}-{chain[-1][0] + chain[-1][1]}")
+                spans.append(f"{self.templates[k][0]}@{chain[0][0]}-{max(f + m for f, m, *_ in chain)}")
         return len(words), len(at), int(at[0]) if len(at) else None, int(at[-1]) if len(at) else None, ",".join(sorted(labels)), ",".join(sorted(labels | more)), score, ";".join(dict.fromkeys(spans))
 
 
@@ -189,7 +186,7 @@ def scan(docs: DataFrame) -> DataFrame:
         s = scanner()
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.string()]
         names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
-        for batch in batches:
+        for batch in portions(batches):
             rows = [s.scan(t) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], ["doc_id", *names])
 

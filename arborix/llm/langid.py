@@ -1,6 +1,6 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. The vector of a trigram binds (multiplies) its
+Every code point that is a letter has a random vector of +1 and -1 of its own. The vector of a trigram binds (multiplies) its
 letters' vectors, each permuted (rotated) by its place; a document's vector bundles (adds) the
 vectors of its trigrams; a language's prototype bundles the unit vectors of its training
 documents. A document goes to the prototype of largest cosine.
@@ -15,51 +15,85 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_bucket, texts_of
+from .common import hash_bucket, mix, portions, texts_of
 
-SYMBOLS, DIMS = 64, 1024
+DIMS = 1024
 
 
 @lru_cache(maxsize=1)
-def _symbols() -> np.ndarray:
-    """Code point to symbol: 0 for what is no letter, 1 to 26 for a to z, 27 up by remainder for the rest."""
-    out = np.zeros(0x110000, np.uint8)
-    for c in range(0x20000):
-        if chr(c).isalpha():
-            out[c] = c - 96 if 97 <= c <= 122 else 27 + c % (SYMBOLS - 27)
-    out[0x20000:0x323B0] = 27 + np.arange(0x20000, 0x323B0) % (SYMBOLS - 27)
+def _is_letter() -> np.ndarray:
+    out = np.zeros(0x110000, bool)
+    out[[c for c in range(0x33480) if chr(c).isalpha()]] = True
     return out
 
 
+def letter_vectors(points: np.ndarray) -> np.ndarray:
+    """The random vector of each code point: hashed bits as +1 and -1, so every letter of every script has its own."""
+    words = np.arange(1, DIMS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    with np.errstate(over="ignore"):
+        bits = mix(mix(points.astype(np.uint64) + np.uint64(11))[:, None] + words[None])
+    return np.unpackbits(bits.view(np.uint8).reshape(len(points), DIMS // 8), axis=1).astype(np.int8) * 2 - 1
+
+
+class Letters:
+    """The vectors of the letters met so far, rotated by their three places; 0 stands for what is no letter. Starts anew when full."""
+
+    def __init__(self, most: int = 1 << 13):
+        self.most = most
+        self.reset()
+
+    def reset(self) -> None:
+        self.number = np.zeros(0x110000, np.int32)
+        base = letter_vectors(np.zeros(1, np.uint32))
+        self.places = [np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base]
+
+    def numbers(self, points: np.ndarray) -> np.ndarray:
+        """Numbers of the code points; 0 for what is no letter."""
+        s = self.number[points]
+        new = np.unique(points[(s == 0) & _is_letter()[points]])
+        if len(new):
+            if len(new) + len(self.places[0]) > self.most and len(self.places[0]) > 1:
+                self.reset()
+                return self.numbers(points)
+            have, base = len(self.places[0]), letter_vectors(new)
+            self.number[new] = np.arange(have, have + len(new))
+            self.places = [np.concatenate((p, np.roll(base, k, axis=1))) for p, k in zip(self.places, (2, 1, 0), strict=True)]
+            s = self.number[points]
+        return s
+
+
 @lru_cache(maxsize=1)
-def _letters(seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    base = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (SYMBOLS, DIMS))
-    return np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base
+def _letters() -> Letters:
+    return Letters()
 
 
 def _trigrams(text: str) -> tuple[np.ndarray, np.ndarray] | None:
-    """Distinct trigrams and their times; None without a letter."""
-    s = _symbols()[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
+    """Distinct trigrams of letter numbers and their times; None without a letter."""
+    s = _letters().numbers(np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32))
     if not s.any():
         return None
-    s = np.concatenate(([0], s, [0])).astype(np.int32)
+    s = np.concatenate(([0], s, [0])).astype(np.int64)
     s = s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))]
     if len(s) < 3:
-        s = np.concatenate((s, np.zeros(3 - len(s), np.int32)))
-    return np.unique((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], return_counts=True)
+        s = np.concatenate((s, np.zeros(3 - len(s), np.int64)))
+    width = int(s.max()) + 1
+    key = (s[:-2] * width + s[1:-1]) * width + s[2:]
+    kinds, counts = np.unique(key.astype(np.int32) if width <= 1290 else key, return_counts=True)
+    kinds = kinds.astype(np.int64)
+    return np.stack((kinds // (width * width), kinds // width % width, kinds % width)), counts
 
 
-def vector(text: str) -> np.ndarray | None:
+def vector(text: str, found=None) -> np.ndarray | None:
     """The bundled trigram vector of a whole text as a unit vector; None without a letter."""
-    found = _trigrams(text)
+    found = found or _trigrams(text)
     if found is None:
         return None
     kinds, counts = found
-    a, b, c = _letters()
+    a, b, c = _letters().places
     out = np.zeros(DIMS, np.float32)
-    for i in range(0, len(kinds), 2048):
-        k = kinds[i : i + 2048]
-        bound = a[k >> 12] * b[(k >> 6) & 63] * c[k & 63]
+    for i in range(0, len(counts), 2048):
+        x, y, z = kinds[:, i : i + 2048]
+        bound = a[x] * b[y] * c[z]
         out += counts[i : i + 2048].astype(np.float32) @ bound.astype(np.float32)
     norm = float(np.sqrt((out.astype(np.float64) ** 2).sum()))
     return out / norm if norm else None
@@ -68,7 +102,11 @@ def vector(text: str) -> np.ndarray | None:
 def size_class(text: str) -> int:
     """The bits of the number of trigrams that a text has in effect: one word repeated is as short as the word."""
     found = _trigrams(text)
-    return 0 if found is None else int(found[1].sum() ** 2 // (found[1].astype(np.int64) ** 2).sum()).bit_length()
+    return 0 if found is None else _size(found)
+
+
+def _size(found: tuple[np.ndarray, np.ndarray]) -> int:
+    return int(found[1].sum() ** 2 // (found[1].astype(np.int64) ** 2).sum()).bit_length()
 
 
 def _sample(docs: DataFrame, per_lang: int) -> DataFrame | None:
@@ -77,8 +115,8 @@ def _sample(docs: DataFrame, per_lang: int) -> DataFrame | None:
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not counts:
         return None
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, per_lang / n) * 1_000_000)))])
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_lang / n)))])
+    return rows.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1).cast("double") < share[F.col("lang")] * float(1 << 63))
 
 
 def fit(docs: DataFrame, per_lang: int = 4000) -> tuple[list[str], np.ndarray]:
@@ -91,7 +129,7 @@ def fit(docs: DataFrame, per_lang: int = 4000) -> tuple[list[str], np.ndarray]:
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in portions(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
                 if (v := vector(text)) is not None:
                     sums[lang] = sums.get(lang, 0) + v.astype(np.float64)
@@ -113,7 +151,7 @@ def predict(docs: DataFrame, names: list[str], protos: np.ndarray, held_out=None
     held_out = F.lit(None).cast("boolean") if held_out is None else held_out
 
     def score(batches):
-        for batch in batches:
+        for batch in portions(batches):
             found = [vector(t) if len(names) else None for t in texts_of(batch)]
             best = [None if v is None else protos @ v.astype(np.float64) for v in found]
             yield pa.RecordBatch.from_arrays(
@@ -133,7 +171,7 @@ def floors(docs: DataFrame, names: list[str], protos: np.ndarray, least: float,
     if taken is not None:
 
         def score(batches):
-            for batch in batches:
+            for batch in portions(batches):
                 texts = [(t, v) for t in texts_of(batch) if (v := vector(t)) is not None]
                 yield pa.RecordBatch.from_arrays([pa.array([size_class(t) for t, _ in texts], pa.int32()), pa.array([float((protos @ v.astype(np.float64)).max()) for _, v in texts], pa.float64())], ["size", "cosine"])
 
@@ -150,10 +188,14 @@ def keep(docs: DataFrame, names: list[str], protos: np.ndarray, least: list[floa
     """Those rows of docs (with a column text) that have a language with a cosine of their size class's `least` or more; all their columns."""
 
     def work(batches):
-        for batch in batches:
+        for batch in portions(batches):
             texts = texts_of(batch)
-            found = [vector(t) if len(names) else None for t in texts]
-            yield batch.filter(pa.array([v is not None and float((protos @ v.astype(np.float64)).max()) >= least[size_class(t)] for t, v in zip(texts, found, strict=True)], pa.bool_()))
+            stay = []
+            for t in texts:
+                grams = _trigrams(t) if len(names) else None
+                v = vector(t, grams) if grams else None
+                stay.append(v is not None and float((protos @ v.astype(np.float64)).max()) >= least[_size(grams)])
+            yield batch.filter(pa.array(stay, pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
 

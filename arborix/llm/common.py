@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from functools import lru_cache
@@ -36,7 +37,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
-        ship(spark)
+        lean(spark)
 
     def save(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -65,7 +66,7 @@ class Scratch:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    ship(spark)
+    lean(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -83,11 +84,29 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def lean(spark: SparkSession) -> None:
+    """Ship the package, and bound the Arrow batches that executors hold beside the heap, where the user has left Spark's defaults."""
+    ship(spark)
+    for key, default, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")):
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, own)
+
+
+def _trim() -> None:
+    """Give freed memory back, as a worker waits for its next task beside the executor's other ones."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def portions(batches, rows: int = 512):
     """Batches of at most so many rows, so that few texts are held as Python objects at once."""
     for batch in batches:
         for a in range(0, batch.num_rows, rows):
             yield batch.slice(a, rows)
+    _trim()
 
 
 def slices(batch: pa.RecordBatch, lengths: np.ndarray, most: int):

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_bucket, texts_of
+from .common import hash_bucket, portions, texts_of
 
 FEATURES = (
     "bytes", "words", "word_bytes", "word_bytes_sd", "distinct_words", "top_word", "top5_words", "lines", "line_words", "distinct_lines", "repeated_bytes",
@@ -112,7 +112,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 120, depth: int = 4, rate: fl
 
 
 def _table(batches):
-    for batch in batches:
+    for batch in portions(batches):
         x = [statistics(t) for t in texts_of(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(x, pa.list_(pa.float64()))], ["y", "x"])
 
@@ -134,7 +134,7 @@ def classify(docs: DataFrame, model: Trees, threshold: float = 0.3) -> DataFrame
     Null texts are scored as empty ones; repeated rows are scored each; further columns are ignored."""
 
     def work(batches):
-        for batch in batches:
+        for batch in portions(batches):
             texts = texts_of(batch)
             score = model.score(np.array([statistics(t) for t in texts], float).reshape(-1, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])

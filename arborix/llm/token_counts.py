@@ -10,12 +10,13 @@ the earlier one; so the sections' counts add up to the document's.
 from __future__ import annotations
 
 import base64
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import texts_of
+from .common import portions, texts_of
 
 SCHEMA = "doc_id long, section int, start_char long, end_char long, n_tokens long, n_crossing long, doc_tokens long"
 
@@ -37,6 +38,12 @@ class Encoder:
         return end - self.size[ids], end
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, pattern: str) -> Encoder:
+    """One for each Python worker."""
+    return Encoder(path, pattern)
+
+
 def attribute(start: np.ndarray, end: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token its section and whether it crosses a bound; bounds are the sections' ends, ascending, the last the text's."""
     first, last = np.searchsorted(bounds, start, "right"), np.searchsorted(bounds, end - 1, "right")
@@ -54,8 +61,8 @@ def count(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     repeated rows are counted each."""
 
     def work(batches):
-        encoder = Encoder(vocabulary, pattern)
-        for batch in batches:
+        encoder = _encoder(vocabulary, pattern)
+        for batch in portions(batches):
             out: list[list[np.ndarray]] = [[] for _ in range(7)]
             for row, text in enumerate(texts_of(batch)):
                 raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)

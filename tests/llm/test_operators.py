@@ -165,6 +165,35 @@ def test_licenses(spark):
     assert got[0]["n_words"] == got[1]["n_words"] == 0 and got[0]["first_word"] is None
 
 
+def test_license_labels():
+    """Words that licences share give no label; whole texts, also with words changed or left out, give theirs."""
+    scan = lambda t: licenses.scanner().scan(t)[5].split(",")
+    assert scan("released under the") == scan("It was released under the terms that we like") == scan("without warranty of any kind, express or implied") == [""]
+    for text, want in (("released under the GPL", "gpl"), ("Released under the Apache License", "apache-2.0"), ("released under the BSD terms", "bsd"), ("Released under the MIT License.", "mit"), ("Licensed under CC BY-NC-SA 4.0.", "cc-by,cc-by-nc-sa"), ("This work is licensed under the GNU General Public License, version 3.", "gpl,gpl-3.0")):
+        assert ",".join(scan(text)) == want, text
+    r = random.Random(17)
+    for label, text in licenses.TEXTS:
+        words = text.split()
+        if len(words) > 40:
+            changed = [w if r.random() > 0.04 else "other" for w in words if r.random() > 0.02]
+            got = scan(f"{prose(r, 30)} {' '.join(changed)} {prose(r, 30)}")
+            assert label in got and not {"mit", "bsd", "isc", "zlib", "boost", "apache-2.0", "unlicense"} & set(got) - {label}, (label, got)
+
+
+def test_license_base(spark):
+    """Base columns of a whole table against plain search."""
+    import pyarrow.parquet as pq
+
+    got = all_rows(queries.op4_license_scan(spark, DATA))
+    for d in pq.read_table(f"{DATA}/documents.parquet").to_pylist():
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), d["text"] or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+        at = sorted((i, label) for p, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
+        row = got[d["doc_id"]]
+        assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"], row["base_labels"]) == (len(words), len(at), at[0][0] if at else None, at[-1][0] if at else None, ",".join(sorted({x for _, x in at})))
+        assert set(row["base_labels"].split(",")) - {""} <= set(row["labels"].split(","))
+
+
 def test_automaton():
     r = random.Random(4)
     seqs = [[r.randint(0, 3) for _ in range(r.randint(1, 14))] for _ in range(4)]

@@ -12,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +21,20 @@ from pyspark.sql import functions as F
 
 from .common import n_parts
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object", "select", "canvas", "audio", "video"}
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)")
+#: The rest of a tag: quotes hold a value only after an equals sign, and what meets another < first is no tag. Nothing is tried twice.
+_REST = re.compile(r"""((?:[^<>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|)|["'])*+)>""")
+_RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in "script style noscript template textarea title svg iframe select canvas audio video".split()}
 _BLOCK = set("address article aside blockquote body br button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
 _DROP = set("nav header footer aside form button dialog menu head fieldset label input search".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _NAMES = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|nav\w*|menu|breadcrumbs?|sidebar|side|widget|footer|header|masthead|toolbar|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|respond|reviews?)(?=$|[\s_-])")
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
-_ATTR = re.compile(r"""([\w:-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+_ATTR = re.compile(r"""([\w:-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""")
+#: Elements whose names say nothing of what is inside them; in an article headings and words within a paragraph neither.
+_ROOTS = {"body", "html"}
+_WORDS = _ROOTS | set("h1 h2 h3 h4 h5 h6 p b i em strong span a code pre blockquote figure figcaption td th tr table tbody li".split())
+_MARKS = {"<!--": "-->", "<!": ">", "<?": ">"}
 _SPACE = re.compile(r"\s+")
 SCHEMA = "page_id long, url string, text string, n_chars long, n_shared int, neighbour long"
 
@@ -39,6 +45,7 @@ def lines_of(page: str) -> tuple[list[str], np.ndarray]:
     kinds: list[int] = []
     held: list[str] = []
     stack: list[tuple[str, int, int]] = []  # name, kind inside it, kind outside
+    open_names: Counter = Counter()
     kind, pos, n = 0, 0, len(page)
 
     def flush() -> None:
@@ -49,93 +56,131 @@ def lines_of(page: str) -> tuple[list[str], np.ndarray]:
                 out.append(line)
                 kinds.append(kind)
 
+    def close(k: int) -> None:
+        open_names.subtract(x[0] for x in stack[k:])
+        del stack[k:]
+
     while pos < n:
-        m = _TOKEN.search(page, pos)
-        if m is None:
-            held.append(page[pos:])
+        at = page.find("<", pos)
+        if at != pos:
+            held.append(page[pos : at if at >= 0 else n])
+        if at < 0:
             break
-        if m.start() > pos:
-            held.append(page[pos : m.start()])
-        pos = m.end()
-        name = m[2]
-        if name is None:
-            if m[0].startswith("<![CDATA["):
-                held.append(html.escape(m[0][9:].removesuffix("]]>")))
+        mark = _MARKS.get(page[at : at + 4]) or _MARKS.get(page[at : at + 2])
+        if mark:  # a comment, CDATA, a declaration or an instruction
+            cdata = page.startswith("<![CDATA[", at)
+            end = page.find("]]>" if cdata else mark, at + (9 if cdata else len(mark) - 1))
+            if cdata:
+                held.append(html.escape(page[at + 9 : end if end >= 0 else n]))
+            pos = end + (3 if cdata else len(mark)) if end >= 0 else n
+            continue
+        m = _NAME.match(page, at)
+        rest = _REST.match(page, m.end()) if m else None
+        if rest is None:  # a bare <
+            held.append("<")
+            pos = at + 1
             continue
-        name = name.lower()
+        pos = rest.end()
+        name, own = m[2].lower(), rest[1]
         if m[1]:
             if name in _BLOCK:
                 flush()
+            if not open_names[name]:
+                continue
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     if name not in _BLOCK and stack[k][1] != stack[k][2]:
                         flush()
                     kind = stack[k][2]
-                    del stack[k:]
+                    close(k)
                     break
             continue
         if name in _RAW:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
+            if not own.endswith("/"):
+                end = _RAW[name].search(page, pos)
                 pos = end.end() if end else n
             continue
-        attributes = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m[3])} if "=" in m[3] else {}
+        attributes = {k.lower(): v[1:-1] if v[0] in "\"'" else v for k, v in _ATTR.findall(own)} if "=" in own else {}
         inside = kind
         if kind >= 0:
             label = f"{attributes.get('class', '')} {attributes.get('id', '')}"
             if name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article"):
                 inside = 1
-            elif name in _DROP or attributes.get("role", "").lower() in _ROLES or (name not in ("body", "html") and label.strip() and _NAMES.search(label)) or re.search(r"\bhidden\b(?!\s*=\s*[\"']?until)", m[3]) or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
+            elif name in _DROP or attributes.get("role", "").lower() in _ROLES or (name not in (_WORDS if kind else _ROOTS) and label.strip() and _NAMES.search(label)) or re.search(r"(?:^|\s)hidden(?=$|[\s/=])(?!\s*=\s*[\"']?until)", own) or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
                 inside = -1
             if kind == 1 and name == "header" and not label.strip():
                 inside = 1  # the heading of the article itself
         if name in _BLOCK or inside != kind:
             flush()
-        if name == "p":  # a paragraph ends the one before
+        if name == "p" and open_names["p"]:  # a paragraph ends the one before
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p":
                     kind = stack[k][2]
                     inside = min(inside, kind) if inside == -1 else kind
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] in _BLOCK:
                     break
-        if name not in _VOID and not m[3].endswith("/"):
+        if name not in _VOID and not own.endswith("/"):
             stack.append((name, inside, kind))
+            open_names[name] += 1
             kind = inside
     flush()
     return out, np.array(kinds, np.int8)
 
 
-def shared(a: list[int], b: list[int]) -> np.ndarray:
-    """Which of a lie on a longest common subsequence of a and b (Hunt and Szymanski, after common ends are taken off)."""
+def _rows(a: list, b: list) -> tuple[list[int], int]:
+    """Bit vectors of the lengths of longest common subsequences of a's beginnings (one each, from none on) and b: bit j is unset where b[j] makes it longer."""
+    at: dict = {}
+    for j, x in enumerate(b):
+        at[x] = at.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    v, out = full, [full]
+    for x in a:
+        u = v & at.get(x, 0)
+        v = (v + u | v - u) & full
+        out.append(v)
+    return out, full
+
+
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Length of a longest common subsequence of a and each beginning of b."""
+    v = _rows(a, b)[0][-1].to_bytes(len(b) // 8 + 1, "little")
+    return np.concatenate(([0], np.cumsum(1 - np.unpackbits(np.frombuffer(v, np.uint8), bitorder="little")[: len(b)].astype(np.int64))))
+
+
+def shared(a: list, b: list, most_bits: int = 1 << 29) -> np.ndarray:
+    """Which of a lie on a longest common subsequence of a and b.
+
+    Common ends are taken off; then whole rows are computed at once as bits, and larger tables are halved, so that memory is bounded."""
     hit = np.zeros(len(a), bool)
     lo = 0
     while lo < min(len(a), len(b)) and a[lo] == b[lo]:
-        hit[lo] = True
         lo += 1
     ea, eb = len(a), len(b)
     while ea > lo and eb > lo and a[ea - 1] == b[eb - 1]:
         ea, eb = ea - 1, eb - 1
-        hit[ea] = True
-    places: dict[int, list[int]] = {}
-    for j in range(eb - 1, lo - 1, -1):
-        places.setdefault(b[j], []).append(j)
-    tails: list[int] = []
-    nodes: list[tuple] = []
-    for i in range(lo, ea):
-        for j in places.get(a[i], ()):
-            k = bisect_left(tails, j)
-            node = (i, nodes[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                nodes.append(node)
-            else:
-                tails[k], nodes[k] = j, node
-    node = nodes[-1] if nodes else None
-    while node:
-        hit[node[0]] = True
-        node = node[1]
+    hit[:lo], hit[ea:] = True, True
+    x, y = a[lo:ea], b[lo:eb]
+    if not x or not y:
+        return hit
+    if len(x) * len(y) > most_bits and len(x) > 1:
+        half = len(x) // 2
+        whole = _lengths(x[:half], y) + _lengths(x[half:][::-1], y[::-1])[::-1]
+        cut = int(whole.argmax())
+        hit[lo:ea] = np.concatenate((shared(x[:half], y[:cut], most_bits), shared(x[half:], y[cut:], most_bits)))
+        return hit
+    rows = [v.to_bytes(len(y) // 8 + 1, "little") for v in _rows(x, y)[0]]
+    longer = lambda i, j: not rows[i][j >> 3] >> (j & 7) & 1
+    i, j = len(x), len(y) - 1
+    while i and j >= 0:
+        if not longer(i, j):
+            j -= 1
+        elif longer(i - 1, j):
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            hit[lo + i] = True
     return hit
 
 

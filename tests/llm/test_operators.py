@@ -68,12 +68,30 @@ def test_lcs():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
-        hit = html_text.shared(a, b)
+        hit = html_text.shared(a, b, r.choice([1, 8, 1 << 29]))
         assert hit.sum() == table[-1, -1]
         it = iter(b)
         assert all(x in it for x, h in zip(a, hit) if h)
 
 
+def test_html_markup():
+    """Odd markup loses no text of an article, and hostile markup takes no more than linear time."""
+    import time
+
+    text = lambda body: "|".join(x for x, k in zip(*html_text.lines_of(f"<article>{body}</article>")) if k == 1)
+    assert text("<p title=it's>one<p>It's two") == "one|It's two"
+    assert text('<h2 class="side">head</h2><p class="notice board">p</p><div class="notice">cookies</div>') == "head|p"
+    assert text("<p>if a<b then c</p><p>1 < 2 <3</p>") == "if a<b then c|1 < 2 <3"
+    assert text("<p>x <math><mi>y</mi></math> <object>z</object></p>") == "x y z"
+    assert text("<p a='>' b=\">\">q</p><!-- <p>no</p> --><![CDATA[a<b]]><?php x ?>") == "q|a<b"
+    assert text("<div hidden>no</div><p data-hidden=1>yes</p>") == "yes"
+    began = time.time()
+    for bad in ('<b x="' * 50_000, '<a "' * 50_000, "<p" * 50_000, "<div>" * 50_000 + "</p>" * 50_000, "<p>" * 50_000, "<!--" * 50_000, "</b>" * 50_000):
+        html_text.lines_of(bad)
+    assert html_text.shared([1] * 4000, [1] * 3999 + [2]).sum() == 3999
+    assert time.time() - began < 20
+
+
 def test_html_pages(spark):
     import pyarrow.parquet as pq
 
@@ -128,6 +146,28 @@ def test_decontaminate(spark):
     names = [x[0] for x in want.description]
     assert sorted(map(tuple, want.fetchall())) == sorted(tuple(x[k] for k in names) for x in got.collect())
     assert decontaminate.find(docs_of(spark, []), bench).count() == 0
+    shuffled = decontaminate.find(docs_of(spark, texts, True), bench, broadcast_bytes=0)
+    assert sorted(map(str, shuffled.collect())) == sorted(map(str, got.collect()))
+
+
+def test_decontaminate_short_items(spark):
+    """Items of few words: whole ones are found, those of less than four words only where a document holds nothing else."""
+    import duckdb
+
+    short = ["a b c d e f g", "one two three four", "yes no", "eight words are here and all must agree"]
+    texts = [*short, "x x a b c d e f g y", "says one two three four five", "he said yes no", "eight words are here and all must differ", None, "", "a b c x e f g"]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, f"0 0 {short[0]}"), (5, "other"), (3, short[1])]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, t) for k, t in enumerate([*short, "", None])], "item_id long, text string")
+    want = {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0), (5, 1), (None, 0), (3, 1)}
+    for most in (0, 1 << 20):
+        assert {(x["doc_id"], x["item_id"]) for x in decontaminate.find(docs, bench, most).collect()} == want
+    c = duckdb.connect()
+    d, b = docs.where("doc_id is not null").toPandas(), bench.toPandas()  # noqa: F841
+    c.execute("create view documents as select * from d")
+    c.execute("create view benchmark as select * from b")
+    got = c.execute(decontaminate.SQL).fetchall()
+    names = ["doc_id", "item_id", "n_match", "n_span", "n_item", "first_word"]
+    assert sorted(got) == sorted(tuple(x[k] for k in names) for x in decontaminate.find(docs.where("doc_id is not null"), bench).collect())
 
 
 def test_decontaminate_excerpts(spark):

@@ -92,7 +92,7 @@ def lean(spark: SparkSession) -> None:
             spark.conf.set(key, own)
 
 
-def _trim() -> None:
+def trim() -> None:
     """Give freed memory back, as a worker waits for its next task beside the executor's other ones."""
     pa.default_memory_pool().release_unused()
     try:
@@ -101,12 +101,24 @@ def _trim() -> None:
         pass
 
 
-def portions(batches, rows: int = 512):
+#: What a worker remembers between tasks of one operator, by name, with what makes it forget.
+_HELD: dict = {}
+
+
+def hold(name: str, clear) -> None:
+    """Forget what is remembered under the name once a worker gets a task that doesn't keep it."""
+    _HELD[name] = clear
+
+
+def portions(batches, rows: int = 512, keep: str = ""):
     """Batches of at most so many rows, so that few texts are held as Python objects at once."""
+    for name in [x for x in _HELD if x != keep]:
+        _HELD.pop(name)()
+        trim()
     for batch in batches:
         for a in range(0, batch.num_rows, rows):
             yield batch.slice(a, rows)
-    _trim()
+    trim()
 
 
 def slices(batch: pa.RecordBatch, lengths: np.ndarray, most: int):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, n_parts, portions, slices, texts_of
+from .common import Scratch, hold, n_parts, portions, slices, texts_of
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -40,7 +40,7 @@ class WordIds:
     The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row.
     New words are encoded together: plain ones in long rows, which are cut again where a piece's last token tells its end."""
 
-    def __init__(self, path: str, most: int = 600_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 500_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -54,7 +54,7 @@ class WordIds:
     def reset(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size, self.hits = (np.zeros(1 << 14, np.int64) for _ in range(3))
+        self.start, self.size, self.hits = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def _forget(self, room: int) -> None:
         """Keep at most `room` words, those of the most texts, and none of a single text."""
@@ -153,10 +153,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
 
     def cut(batches):
         words = _words(tokenizer)
-        for batch in portions(batches, 1024):
+        hold("words", _words.cache_clear)
+        for batch in portions(batches, 1024, keep="words"):
             rows: tuple[list, ...] = ([], [], [], [], [])
             texts = texts_of(batch)
-            found = (ids for a, b in slices(batch, np.array([len(t) for t in texts]), 1_000_000) for ids in words.encode(texts[a:b]))
+            found = (ids for a, b in slices(batch, np.array([len(t) for t in texts]), 500_000) for ids in words.encode(texts[a:b]))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):

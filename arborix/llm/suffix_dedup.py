@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BASE, Scratch, mix, n_parts, portions, powers_to, slices
+from .common import _BASE, Scratch, mix, n_parts, portions, powers_to, slices, trim
 
 GRAM, HEAD, SLICE, LONG = 64, 7, 400_000, 1024
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -318,6 +318,7 @@ def _settle(depth: int):
     def work(table: pa.Table) -> pa.Table:
         k, th, start, once = (table.column(c).to_pylist() for c in ("k", "th", "start", "once"))
         found = repeated(table.column("bytes").to_pylist(), depth)
+        trim()
         rows = [(k[i], th[i], start[i] + a, start[i] + b) for i, starts in enumerate(found) if once[i] for a, b in _runs(starts, depth)]
         return pa.table([pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["k", "th", "lo", "hi"])
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import portions, texts_of
+from .common import hold, portions, texts_of
 
 SCHEMA = "doc_id long, section int, start_char long, end_char long, n_tokens long, n_crossing long, doc_tokens long"
 
@@ -62,7 +62,8 @@ def count(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
     def work(batches):
         encoder = _encoder(vocabulary, pattern)
-        for batch in portions(batches):
+        hold("encoder", _encoder.cache_clear)
+        for batch in portions(batches, keep="encoder"):
             out: list[list[np.ndarray]] = [[] for _ in range(7)]
             for row, text in enumerate(texts_of(batch)):
                 raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.package import settled
+
 
 def pick(df: DataFrame, by: list, order: list) -> DataFrame:
     """First row of each group in the order given, which must name all that decides (S19)."""
@@ -49,19 +51,20 @@ def top_k(df: DataFrame, by: list[str], order: list, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def walk_down(edges: DataFrame, most: int = 100) -> DataFrame:
-    """TREE-8, TREE-17, VAL-12 over edges (id, parent): (id, root, depth, path) from rows without parent; a cycle is not entered.
+def walk_down(edges: DataFrame) -> DataFrame:
+    """TREE-8, TREE-17, VAL-12 over edges (id, parent): (id, root, depth, ids) from rows without parent; a cycle is not entered.
 
-    A driver loop over levels with one join each; every level holds only the nodes of that depth."""
+    A driver loop over levels, however many there are, with one join each. A level is checkpointed, so that the
+    next one and the test for its end don't compute those before it again, and plans stay small."""
     level = edges.where("parent IS NULL").select("id", F.col("id").alias("root"), F.lit(0).alias("depth"), F.array("id").alias("ids"))
-    out = level
+    out, depth = level, 0
     below = edges.where("parent IS NOT NULL").select(F.col("id").alias("child"), "parent")
-    for depth in range(1, most):
-        level = level.join(below, level["id"] == below["parent"]).where(~F.array_contains("ids", F.col("child"))).select(F.col("child").alias("id"), "root", F.lit(depth).alias("depth"), F.concat("ids", F.array("child")).alias("ids"))
+    while True:
+        depth += 1
+        level = settled(level.join(below, level["id"] == below["parent"]).where(~F.array_contains("ids", F.col("child"))).select(F.col("child").alias("id"), "root", F.lit(depth).alias("depth"), F.concat("ids", F.array("child")).alias("ids")))
         if level.isEmpty():
-            break
+            return out
         out = out.unionByName(level)
-    return out
 
 
 def child_index(edges: DataFrame, order: str) -> DataFrame:

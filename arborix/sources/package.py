@@ -8,7 +8,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -25,3 +25,19 @@ def ship(spark: SparkSession) -> None:
     Path(path).write_bytes(data.getvalue())
     sc.addPyFile(path)
     sc._arborix_shipped = True
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, computed and cut from its lineage by a checkpoint in the folder the cluster names in spark.checkpoint.dir.
+
+    A temporary folder is set only where none is named and all tasks run on this machine."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            where = "file://" + tempfile.mkdtemp(prefix="arborix-")
+        sc.setCheckpointDir(where)
+    return df.checkpoint()

@@ -20,10 +20,10 @@ _STOPS = {"li": {"ul", "ol"}, "td": {"tr"}, "th": {"tr"}, "tr": {"table"}, "p":
 
 
 class Element:
-    __slots__ = ("name", "attributes", "children", "parent")
+    __slots__ = ("name", "attributes", "children", "parent", "place")
 
     def __init__(self, name: str, attributes: dict, parent: Element | None):
-        self.name, self.attributes, self.children, self.parent = name, attributes, [], parent
+        self.name, self.attributes, self.children, self.parent, self.place = name, attributes, [], parent, None
 
     def all(self):
         stack = [self]
@@ -47,8 +47,12 @@ class Element:
         """PARSE-21: tag[n] among siblings of one name, from the top."""
         parts, e = [], self
         while e.parent is not None:
-            same = [c for c in e.parent.children if isinstance(c, Element) and c.name == e.name]
-            parts.append(f"{e.name}[{next(i for i, c in enumerate(same) if c is e) + 1}]")
+            if e.place is None:  # the parent's children are numbered once
+                seen: dict[str, int] = {}
+                for c in e.parent.children:
+                    if isinstance(c, Element):
+                        c.place = seen[c.name] = seen.get(c.name, 0) + 1
+            parts.append(f"{e.name}[{e.place}]")
             e = e.parent
         return "/".join(reversed(parts))
 
@@ -140,24 +144,33 @@ def _inside(e: Element, names: set) -> bool:
     return False
 
 
-def _items(ul: Element, section: str, prefix: str = "", depth: int = 1):
-    """PARSE-10, PARSE-12: list items in preorder; an empty item uses its number up and its lists are left out (S12)."""
-    n = 0
-    for li in ul.children:
+def _items(ul: Element, section: str):
+    """PARSE-10, PARSE-12: list items in preorder, however deep; an empty item uses its number up and its lists are left out (S12)."""
+    open_lists = [[iter(ul.children), "", 1, 0]]  # items left, id above, depth, number
+    while open_lists:
+        top = open_lists[-1]
+        li = next(top[0], None)
+        if li is None:
+            open_lists.pop()
+            continue
         if not isinstance(li, Element) or li.name != "li":
             continue
-        n += 1
-        own = f"{prefix}.{n:03d}" if prefix else f"{section}.{n:03d}"
+        top[3] += 1
+        prefix, depth = top[1], top[2]
+        own = f"{prefix}.{top[3]:03d}" if prefix else f"{section}.{top[3]:03d}"
         text = li.text(frozenset({"ul", "ol", "script", "style", "img"}))
         if not text:
             continue
         yield "item", own, prefix or section, depth, "li", text, li.path()
-        for sub in (x for x in li.all() if x.name in ("ul", "ol") and x is not li):
-            e = sub.parent
-            while e is not li and e.name != "li":
-                e = e.parent
-            if e is li:
-                yield from _items(sub, section, own, depth + 1)
+        below, stack = [], list(reversed(li.children))
+        while stack:  # lists of this item, not of items inside them
+            e = stack.pop()
+            if isinstance(e, Element):
+                if e.name in ("ul", "ol"):
+                    below.append(e)
+                if e.name != "li":
+                    stack += reversed(e.children)
+        open_lists += [[iter(x.children), own, depth + 1, 0] for x in reversed(below)]
 
 
 def extract(pages: DataFrame) -> DataFrame:

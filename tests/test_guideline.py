@@ -48,3 +48,16 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "id string, parent string, text string, ord int")
     assert build.logic_nodes(none, "x").count() == build.ref_registry(none).count() == 0
     assert build.definition_flags(none, {"any": F.col("ord") > 0}).first()["any"] is False
+
+
+def test_deep_and_wide_pages():
+    """A list nested 3,000 deep and a list of 20,000 items are parsed without recursion or rescans."""
+    import time
+
+    from arborix.operators import html_nodes
+
+    began = time.time()
+    for page, n in (("<ul><li>x" * 1500, 1500), ("<ul>" + "<li>y</li>" * 20_000 + "</ul>", 20_000)):
+        rows = [r for r in html_nodes.records(f"<html><body><h2>t</h2>{page}</body></html>") if r[0] == "item"]
+        assert len(rows) == n
+    assert time.time() - began < 60

@@ -1,13 +1,13 @@
-"""Best-fit packing of token sequences, in bulk-synchronous rounds over length classes.
-
-Documents are tokenised once; longer ones are cut into full pieces. Pieces are range-sorted
-by length (longest first), which gives every piece a rank; gaps are kept sorted by size.
-One round takes the longest length class that still has pieces, finds by a successor sweep the
-smallest gap that holds it, and matches the r-th piece of the class with the r-th gap of that
-size, so conflicts are resolved by rank; gaps are then updated, and the next round follows.
-There are at most `capacity` classes of lengths and of gaps, and matches are kept as ranges
-of ranks, so what the rounds hold is bounded by the capacity, not by the number of documents.
-The ranks of the pieces and their places are computed in distributed passes.
+"""Best-fit packing of token sequences, in bulk-synchronous rounds over a table of gaps.
+
+Documents are tokenised once; longer ones are cut into full pieces. As many empty gaps as the
+tokens need at least are opened. In each round pieces and gaps are range-sorted together by size, a
+piece before the gaps that it fills, and swept: a task gives its pieces, longest first, to the smallest
+of its gaps that hold them. What a range has no gap for goes to the next ranges' gaps that nothing
+has touched: tasks only report how many of both they have left, the counts are matched from the
+shortest range up, and pieces and gaps meet by their rank among what their range left, so no gap
+gets two pieces. Gaps are then updated, and the next round follows. Once nothing fits, more gaps
+are opened. The driver holds a row for each range, never pieces or gaps.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, hold, n_parts, portions, slices, texts_of
+from .common import Scratch, hold, portions, slices, texts_of
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -169,80 +169,136 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
-def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
-    """Best fit, longest class first: (first rank, pieces, first sequence, offset) of each match, and the number of sequences.
-
-    Ranks count pieces from the longest class down. Equal gaps are filled in the order they came up."""
-    gaps: dict[int, deque] = {}
-    sizes: list[int] = []
-    matches, opened, rank = [], 0, 0
-
-    def release(gap: int, first: int, n: int) -> None:
-        if gap:
-            if gap not in gaps:
-                gaps[gap] = deque()
-                bisect.insort(sizes, gap)
-            gaps[gap].append((first, n))
+def fill(counts: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """Best fit of classes of lengths into classes of gaps, longest first: (first rank, pieces, first gap, its size then) of each match.
 
+    Ranks count pieces from the longest class down, gaps count from the smallest class up. Equal gaps are filled in the order
+    they came up; pieces that no gap holds keep their ranks and are in no match."""
+    sizes, held, at = sorted(gaps), {}, 0
+    for size in sizes:
+        held[size] = deque([(at, gaps[size])])
+        at += gaps[size]
+    matches, rank = [], 0
     for length in sorted(counts, reverse=True):
         left = counts[length]
-        while left:
-            k = bisect.bisect_left(sizes, length)
-            if k == len(sizes):
-                n = -(-left // (capacity // length))
-                matches.append((rank, n, opened, 0))
-                release(capacity - length, opened, n)
-                opened, rank, left = opened + n, rank + n, left - n
-                continue
+        while left and (k := bisect.bisect_left(sizes, length)) < len(sizes):
             gap = sizes[k]
-            first, have = gaps[gap].popleft()
-            n = min(have, left)
+            first, have = held[gap].popleft()
+            times = min(gap // length, left)  # what a piece leaves of the smallest gap is smaller still, and takes the next one
+            n = min(have, left // times)
             if n < have:
-                gaps[gap].appendleft((first + n, have - n))
-            elif not gaps[gap]:
-                del gaps[gap]
+                held[gap].appendleft((first + n, have - n))
+            elif not held[gap]:
+                del held[gap]
                 sizes.pop(k)
-            matches.append((rank, n, first, capacity - gap))
-            release(gap - length, first, n)
-            rank, left = rank + n, left - n
-    return matches, opened
+            if rest := gap - times * length:
+                if rest not in held:
+                    held[rest] = deque()
+                    bisect.insort(sizes, rest)
+                held[rest].append((first, n))
+            matches += [(rank + i * n, n, first, gap - i * length) for i in range(times)]
+            rank, left = rank + times * n, left - times * n
+        rank += left
+    return matches
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    """Pack all documents (doc_id, text) into sequences of at most `capacity` tokens.
+_STATE = "gap boolean, id long, size long"
+
+
+def _sweep(capacity: int):
+    """One range of a round: (gap, id, size, sequence_id, offset, part, nth), -1 for what there isn't.
 
-    Null and empty texts hold `end_id` alone; repeated rows are packed once each; ties in length are
-    ordered by doc_id and piece; an empty table gives no row; further columns are ignored."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "packing")
-    cut = scratch.save(pieces(docs, tokenizer, capacity, end_id))
-    counts = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
+    A piece has the sequence and offset that it got, or else its rank among the range's pieces left, from the longest; a gap has
+    its new size and, if nothing touched it, its rank among those, from the smallest."""
 
-    def number(batches):
+    def sweep(batches):
         from pyspark import TaskContext
 
-        part, seen = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seen, seen + n))], [*batch.schema.names, "part", "nth"])
-            seen += n
-
-    order = [F.desc("length"), F.asc("doc_id"), F.asc("piece")]
-    ranked = scratch.save(cut.repartitionByRange(n_parts(spark), *order).sortWithinPartitions(*order).mapInArrow(number, PIECES + ", part int, nth long"))
-    scratch.drop(cut)
-    first, at = {}, 0
-    for r in sorted(ranked.groupBy("part").agg(F.count("*").alias("n")).collect()):  # a row for each partition
-        first[r["part"]], at = at, at + r["n"]
-    matches, _ = plan(counts, capacity)
-    table = np.array(matches, np.int64).reshape(-1, 4)
-    held = spark.sparkContext.broadcast((first, table))  # bounded by the partitions and by capacity's classes
-
-    def place(batches):
-        starts, table = held.value
-        for batch in batches:
-            rank = np.array([starts[p] for p in batch.column("part").to_pylist()], np.int64) + batch.column("nth").to_numpy()
-            row = np.searchsorted(table[:, 0], rank, "right") - 1
-            sequence = table[row, 2] + rank - table[row, 0]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(table[row, 3])], [*batch.schema.names[:5], "sequence_id", "offset"])
-
-    return ranked.mapInArrow(place, PIECES + ", sequence_id long, offset long")
+        part, table = TaskContext.get().partitionId(), pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if table is None:
+            return
+        gap, ids, size = (table.column(x).to_numpy() for x in ("gap", "id", "size"))
+        docs, gaps = np.flatnonzero(~gap)[::-1], np.flatnonzero(gap)  # the range is sorted by size
+        lengths, room = size[docs], size[gaps]
+        counted = (dict(zip(*(x.tolist() for x in np.unique(v, return_counts=True)), strict=True)) for v in (lengths, room))
+        found = np.array(fill(*counted), np.int64).reshape(-1, 4)
+        n = found[:, 1]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        doc, to = np.repeat(found[:, 0], n) + step, np.repeat(found[:, 2], n) + step
+        sequence, offset, nth = (np.full(len(ids), -1) for _ in range(3))
+        sequence[docs[doc]], offset[docs[doc]] = ids[gaps[to]], capacity - np.repeat(found[:, 3], n)
+        taken = np.zeros(len(gaps), np.int64)
+        np.add.at(taken, to, lengths[doc])
+        left, free = docs[sequence[docs] < 0], gaps[taken == 0]
+        nth[left], nth[free] = np.arange(len(left)), np.arange(len(free))
+        size = size.copy()
+        size[gaps] -= taken
+        out = pa.table([gap, ids, size, sequence, offset, np.full(len(ids), part), nth], ["gap", "id", "size", "sequence_id", "offset", "part", "nth"])
+        yield from out.to_batches(max_chunksize=10_000)
+
+    return sweep
+
+
+def _meet(ranges: list[tuple[int, int, int]]) -> list[tuple[bool, int, int, int, int]]:
+    """Runs (gap, part, first nth, last nth, first link) of what meets, from ranges (part, pieces left, gaps untouched), shortest first.
+
+    A range's untouched gaps are below its own pieces left, so they take the nearest shorter ranges' pieces, the longest first."""
+    waiting, runs, link = [], [], 0
+    for part, left, free in ranges:
+        at = 0
+        while at < free and waiting:
+            own, first, have = waiting.pop()
+            n = min(free - at, have)
+            runs += [(False, own, first, first + n - 1, link), (True, part, at, at + n - 1, link)]
+            at, link = at + n, link + n
+            if n < have:
+                waiting.append((own, first + n, have - n))
+        if left:
+            waiting.append((part, 0, left))
+    return runs
+
+
+def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int) -> DataFrame:
+    """(id, sequence_id, offset) for each piece (id, length) of a saved table, none longer than the capacity; ids are distinct."""
+    spark = scratch.spark
+    state = pieces.select(F.lit(False).alias("gap"), "id", F.col("length").alias("size"))
+    tokens, opened, placed = pieces.agg(F.sum("length")).first()[0] or 0, 0, []
+    missing, stuck = tokens, True
+    while missing:
+        if stuck:
+            more = -(-missing // capacity)
+            state = state.unionByName(spark.range(opened, opened + more).select(F.lit(True).alias("gap"), "id", F.lit(capacity).cast("long").alias("size")))
+            opened += more
+        order = ["size", "gap", "id"]
+        swept = scratch.save(state.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep(capacity), _STATE + ", sequence_id long, offset long, part long, nth long"))
+        left, free = (F.col("nth") >= 0) & ~F.col("gap"), (F.col("nth") >= 0) & F.col("gap")
+        sums = [F.count_if(left).alias("left"), F.count_if(free).alias("free"), F.count_if(F.col("sequence_id") >= 0).alias("put"), F.sum(F.when(left, F.col("size")).otherwise(0)).alias("tokens")]
+        ranges = sorted(swept.groupBy("part").agg(*sums).collect())  # a row for each partition
+        runs = _meet([(r["part"], r["left"], r["free"]) for r in ranges])
+        missing, stuck = sum(r["tokens"] for r in ranges), not runs and not any(r["put"] for r in ranges)
+        placed.append(swept.where("sequence_id >= 0").select("id", "sequence_id", "offset"))
+        rest = swept.where("sequence_id < 0 AND size > 0")
+        state = rest.select("gap", "id", "size")
+        if runs:
+            links = spark.createDataFrame(runs, "gap boolean, part long, a long, b long, link long")  # at most four rows for each partition
+            linked = rest.join(F.broadcast(links), (rest.gap == links.gap) & (rest.part == links.part) & rest.nth.between(links.a, links.b), "left")
+            linked = linked.select(rest.gap, "id", "size", (links.link + rest.nth - links.a).alias("link"))
+            gaps = linked.where("gap").select("link", F.col("id").alias("sequence_id"), F.col("size").alias("room"))
+            met = scratch.save(linked.where("NOT gap").join(gaps, "link").select("id", "size", "sequence_id", "room"))
+            placed.append(met.select("id", "sequence_id", (capacity - F.col("room")).alias("offset")))
+            state = linked.where("link IS NULL").select("gap", "id", "size").unionByName(met.where("room > size").select(F.lit(True).alias("gap"), F.col("sequence_id").alias("id"), (F.col("room") - F.col("size")).alias("size")))
+            missing -= met.agg(F.sum("size")).first()[0]
+    out = placed[0] if placed else pieces.select("id", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    for x in placed[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
+    """Pack all documents (doc_id, text) into sequences of at most `capacity` tokens.
+
+    Null and empty texts hold `end_id` alone; repeated rows are packed once each; pieces of equal length go in any order;
+    an empty table gives no row; further columns are ignored."""
+    scratch = Scratch(docs.sparkSession, "packing")
+    cut = scratch.save(pieces(docs, tokenizer, capacity, end_id).withColumn("id", F.monotonically_increasing_id()))
+    return cut.join(best_fit(scratch, cut, capacity), "id").drop("id")

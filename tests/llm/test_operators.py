@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arborix.llm import decontaminate, html_text, langid, licenses, minhash, packing, quality, queries, suffix_dedup, token_counts, vector_graph
+from arborix.llm.common import Scratch
 from arborix.llm.suffix_dedup import Bwt, merge, repeated
 
 DATA = "/root/testdata/sf0.001"
@@ -500,23 +501,61 @@ def test_packing(spark):
     assert packing.pack(docs_of(spark, []), path).count() == 0
 
 
-def test_best_fit_plan():
-    r = random.Random(9)
-    lengths = sorted((r.choice([1, 7, 30, 30, 64, r.randint(1, 100)]) for _ in range(400)), reverse=True)
-    matches, opened = packing.plan(Counter(lengths), 100)
+def best_fit_one_by_one(lengths: list[int], capacity: int) -> list[int]:
+    """What is left of each sequence when pieces go one at a time, the longest first."""
     gaps: list[int] = []
-    for n in lengths:  # one piece at a time
+    for n in sorted(lengths, reverse=True):
         fit = min((g for g in gaps if g >= n), default=None)
         if fit is None:
-            gaps.append(100 - n)
+            gaps.append(capacity - n)
         else:
             gaps[gaps.index(fit)] = fit - n
+    return gaps
+
+
+def test_best_fit_of_classes():
+    r = random.Random(9)
+    lengths = sorted((r.choice([1, 7, 30, 30, 64, r.randint(1, 100)]) for _ in range(400)), reverse=True)
+    gaps = best_fit_one_by_one(lengths, 100)
+    matches = packing.fill(Counter(lengths), {100: len(gaps)})
     fill = Counter()
-    for rank, n, first, offset in sorted(matches, key=lambda m: m[3]):
+    for rank, n, first, gap in sorted(matches, key=lambda m: -m[3]):
         for i in range(n):
-            assert fill[first + i] == offset
+            assert fill[first + i] == 100 - gap
             fill[first + i] += lengths[rank + i]
-    assert sum(m[1] for m in matches) == 400 and max(fill.values()) <= 100 and opened == len(fill) <= len(gaps)
+    assert sum(m[1] for m in matches) == 400 and max(fill.values()) <= 100 and sorted(100 - x for x in fill.values()) == sorted(gaps)
+    assert packing.fill({9: 2, 5: 1}, {6: 1}) == [(2, 1, 0, 6)]  # ranks of what fits nowhere stay
+
+
+def test_ranges_meet():
+    # pieces left and gaps untouched by range: gaps take the nearest shorter range's pieces, no piece or gap twice
+    runs = packing._meet([(0, 5, 0), (1, 2, 1), (2, 0, 4), (3, 1, 0)])
+    assert runs == [(False, 0, 0, 0, 0), (True, 1, 0, 0, 0), (False, 1, 0, 1, 1), (True, 2, 0, 1, 1), (False, 0, 1, 2, 3), (True, 2, 2, 3, 3)]
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_best_fit_rounds(spark, ranges):
+    """Many ranges or one: every piece once, no sequence over the capacity, gapless, near the fewest sequences."""
+    r = random.Random(10)
+    lengths = [*(r.choice([1, 3, 40, 100, 100, r.randint(1, 100), r.randint(1, 30)]) for _ in range(900)), *[51] * 60]
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], "false")
+        spark.conf.set(keys[1], str(ranges))
+        table = spark.createDataFrame(list(enumerate(lengths)), "id long, length long")
+        rows = packing.best_fit(Scratch(spark, "best-fit"), table, 100).collect()
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+    assert sorted(x["id"] for x in rows) == list(range(len(lengths)))
+    sequences: dict = {}
+    for x in rows:
+        sequences.setdefault(x["sequence_id"], []).append((x["offset"], lengths[x["id"]]))
+    for s in sequences.values():
+        s.sort()
+        assert [o for o, _ in s] == np.cumsum([0, *(n for _, n in s[:-1])]).tolist() and sum(n for _, n in s) <= 100
+    assert len(sequences) <= len(best_fit_one_by_one(lengths, 100)) * 1.02 + 1
 
 
 # ---- 9 ----------------------------------------------------------------------------------------------------------

@@ -258,29 +258,32 @@ def _meet(ranges: list[tuple[int, int, int]]) -> list[tuple[bool, int, int, int,
     return runs
 
 
-def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int) -> DataFrame:
-    """(id, sequence_id, offset) for each piece (id, length) of a saved table, none longer than the capacity; ids are distinct."""
+def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int, most: int = 500_000) -> DataFrame:
+    """(id, sequence_id, offset) for each piece (id, length) of a saved table, none longer than the capacity; ids are distinct.
+
+    Ranges hold about `most` pieces and gaps, which bounds what a task holds; there are as many of them as the rows need."""
     spark = scratch.spark
     state = pieces.select(F.lit(False).alias("gap"), "id", F.col("length").alias("size"))
-    tokens, opened, placed = pieces.agg(F.sum("length")).first()[0] or 0, 0, []
-    missing, stuck = tokens, True
+    missing, rows = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    opened, placed, stuck = 0, [], True
     while missing:
         if stuck:
             more = -(-missing // capacity)
             state = state.unionByName(spark.range(opened, opened + more).select(F.lit(True).alias("gap"), "id", F.lit(capacity).cast("long").alias("size")))
-            opened += more
+            opened, rows = opened + more, rows + more
         order = ["size", "gap", "id"]
-        swept = scratch.save(state.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep(capacity), _STATE + ", sequence_id long, offset long, part long, nth long"))
+        swept = scratch.save(state.repartitionByRange(-(-rows // most), *order).sortWithinPartitions(*order).mapInArrow(_sweep(capacity), _STATE + ", sequence_id long, offset long, part long, nth long"))
         left, free = (F.col("nth") >= 0) & ~F.col("gap"), (F.col("nth") >= 0) & F.col("gap")
-        sums = [F.count_if(left).alias("left"), F.count_if(free).alias("free"), F.count_if(F.col("sequence_id") >= 0).alias("put"), F.sum(F.when(left, F.col("size")).otherwise(0)).alias("tokens")]
-        ranges = sorted(swept.groupBy("part").agg(*sums).collect())  # a row for each partition
+        sums = [F.count_if(left).alias("left"), F.count_if(F.col("gap") & (F.col("size") > 0)).alias("gaps"), F.count_if(free).alias("free"), F.count_if(F.col("sequence_id") >= 0).alias("put"), F.sum(F.when(left, F.col("size")).otherwise(0)).alias("tokens")]
+        ranges = sorted(swept.groupBy("part").agg(*sums).collect())  # a row for each range
         runs = _meet([(r["part"], r["left"], r["free"]) for r in ranges])
+        rows = sum(r["left"] + r["gaps"] for r in ranges)
         missing, stuck = sum(r["tokens"] for r in ranges), not runs and not any(r["put"] for r in ranges)
         placed.append(swept.where("sequence_id >= 0").select("id", "sequence_id", "offset"))
         rest = swept.where("sequence_id < 0 AND size > 0")
         state = rest.select("gap", "id", "size")
         if runs:
-            links = spark.createDataFrame(runs, "gap boolean, part long, a long, b long, link long")  # at most four rows for each partition
+            links = spark.createDataFrame(runs, "gap boolean, part long, a long, b long, link long")  # at most four rows for each range
             linked = rest.join(F.broadcast(links), (rest.gap == links.gap) & (rest.part == links.part) & rest.nth.between(links.a, links.b), "left")
             linked = linked.select(rest.gap, "id", "size", (links.link + rest.nth - links.a).alias("link"))
             gaps = linked.where("gap").select("link", F.col("id").alias("sequence_id"), F.col("size").alias("room"))

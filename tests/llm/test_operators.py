@@ -533,21 +533,13 @@ def test_ranges_meet():
     assert runs == [(False, 0, 0, 0, 0), (True, 1, 0, 0, 0), (False, 1, 0, 1, 1), (True, 2, 0, 1, 1), (False, 0, 1, 2, 3), (True, 2, 2, 3, 3)]
 
 
-@pytest.mark.parametrize("ranges", [1, 7])
-def test_best_fit_rounds(spark, ranges):
+@pytest.mark.parametrize("most", [10_000, 200])
+def test_best_fit_rounds(spark, most):
     """Many ranges or one: every piece once, no sequence over the capacity, gapless, near the fewest sequences."""
     r = random.Random(10)
     lengths = [*(r.choice([1, 3, 40, 100, 100, r.randint(1, 100), r.randint(1, 30)]) for _ in range(900)), *[51] * 60]
-    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
-    before = [spark.conf.get(k) for k in keys]
-    try:
-        spark.conf.set(keys[0], "false")
-        spark.conf.set(keys[1], str(ranges))
-        table = spark.createDataFrame(list(enumerate(lengths)), "id long, length long")
-        rows = packing.best_fit(Scratch(spark, "best-fit"), table, 100).collect()
-    finally:
-        for k, v in zip(keys, before, strict=True):
-            spark.conf.set(k, v)
+    table = spark.createDataFrame(list(enumerate(lengths)), "id long, length long")
+    rows = packing.best_fit(Scratch(spark, "best-fit"), table, 100, most).collect()
     assert sorted(x["id"] for x in rows) == list(range(len(lengths)))
     sequences: dict = {}
     for x in rows:

@@ -22,7 +22,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, hold, portions, slices, texts_of
@@ -205,6 +205,15 @@ def fill(counts: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, i
 _STATE = "gap boolean, id long, size long"
 
 
+def _assign(lengths: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Best fit of lengths, longest first, into rooms, smallest first: rows (piece, gap, its size then), as `fill` matches them."""
+    counted = (dict(zip(*(x.tolist() for x in np.unique(v, return_counts=True)), strict=True)) for v in (lengths, room))
+    found = np.array(fill(*counted), np.int64).reshape(-1, 4)
+    n = found[:, 1]
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return np.column_stack((np.repeat(found[:, 0], n) + step, np.repeat(found[:, 2], n) + step, np.repeat(found[:, 3], n)))
+
+
 def _sweep(capacity: int):
     """One range of a round: (gap, id, size, sequence_id, offset, part, nth), -1 for what there isn't.
 
@@ -220,13 +229,9 @@ def _sweep(capacity: int):
         gap, ids, size = (table.column(x).to_numpy() for x in ("gap", "id", "size"))
         docs, gaps = np.flatnonzero(~gap)[::-1], np.flatnonzero(gap)  # the range is sorted by size
         lengths, room = size[docs], size[gaps]
-        counted = (dict(zip(*(x.tolist() for x in np.unique(v, return_counts=True)), strict=True)) for v in (lengths, room))
-        found = np.array(fill(*counted), np.int64).reshape(-1, 4)
-        n = found[:, 1]
-        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        doc, to = np.repeat(found[:, 0], n) + step, np.repeat(found[:, 2], n) + step
+        doc, to, then = _assign(lengths, room).T
         sequence, offset, nth = (np.full(len(ids), -1) for _ in range(3))
-        sequence[docs[doc]], offset[docs[doc]] = ids[gaps[to]], capacity - np.repeat(found[:, 3], n)
+        sequence[docs[doc]], offset[docs[doc]] = ids[gaps[to]], capacity - then
         taken = np.zeros(len(gaps), np.int64)
         np.add.at(taken, to, lengths[doc])
         left, free = docs[sequence[docs] < 0], gaps[taken == 0]
@@ -239,58 +244,91 @@ def _sweep(capacity: int):
     return sweep
 
 
-def _meet(ranges: list[tuple[int, int, int]]) -> list[tuple[bool, int, int, int, int]]:
-    """Runs (gap, part, first nth, last nth, first link) of what meets, from ranges (part, pieces left, gaps untouched), shortest first.
+def _finish(capacity: int, opened: int):
+    """(id, sequence_id, offset) of the last pieces, in one task: into the gaps given, and then into new ones from `opened` on."""
 
-    A range's untouched gaps are below its own pieces left, so they take the nearest shorter ranges' pieces, the longest first."""
-    waiting, runs, link = [], [], 0
-    for part, left, free in ranges:
+    def finish(table: pa.Table) -> pa.Table:
+        gap, ids, size = (table.column(x).to_numpy() for x in ("gap", "id", "size"))
+        order = np.argsort(-size[~gap], kind="stable")
+        docs, lengths, names, room, new, out = ids[~gap][order], size[~gap][order], ids[gap], size[gap], opened, []
+        while len(docs):
+            order = np.argsort(room, kind="stable")
+            names, room = names[order], room[order]
+            doc, to, then = _assign(lengths, room).T
+            out.append((docs[doc], names[to], capacity - then))
+            np.subtract.at(room, to, lengths[doc])
+            docs, lengths, names, room = np.delete(docs, doc), np.delete(lengths, doc), names[room > 0], room[room > 0]
+            more = -(-int(lengths.sum()) // capacity)
+            names, room, new = np.concatenate((names, np.arange(new, new + more))), np.concatenate((room, np.full(more, capacity))), new + more
+        return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], ["id", "sequence_id", "offset"])
+
+    return finish
+
+
+def _meet(ranges: list[tuple[int, int, int, int, int]]) -> tuple[list[tuple[bool, int, int, int, int, int]], int]:
+    """What meets, from ranges (part, pieces left, gaps untouched, longest such piece, least such gap), shortest first.
+
+    Runs (gap, part, first nth, last nth, first link, rows for each link), and how many pieces they have. A range's untouched
+    gaps hold its shorter ranges' pieces left, so they take the nearest such range's, the longest first, and each gap as many
+    at once as the least of the gaps holds of the longest of the pieces, which is what best fit does with equal ones."""
+    waiting, runs, link, met = [], [], 0, 0
+    for part, left, free, longest, least in ranges:
         at = 0
         while at < free and waiting:
-            own, first, have = waiting.pop()
-            n = min(free - at, have)
-            runs += [(False, own, first, first + n - 1, link), (True, part, at, at + n - 1, link)]
-            at, link = at + n, link + n
+            own, first, have, size = waiting.pop()
+            times = least // size
+            gaps = min(free - at, -(-have // times))
+            n = min(have, gaps * times)
+            runs += [(False, own, first, first + n - 1, link, times), (True, part, at, at + gaps - 1, link, 1)]
+            at, link, met = at + gaps, link + gaps, met + n
             if n < have:
-                waiting.append((own, first + n, have - n))
+                waiting.append((own, first + n, have - n, size))
         if left:
-            waiting.append((part, 0, left))
-    return runs
+            waiting.append((part, 0, left, longest))
+    return runs, met
 
 
-def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int, most: int = 500_000) -> DataFrame:
+def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int, most: int = 500_000, last: int = 10_000) -> DataFrame:
     """(id, sequence_id, offset) for each piece (id, length) of a saved table, none longer than the capacity; ids are distinct.
 
-    Ranges hold about `most` pieces and gaps, which bounds what a task holds; there are as many of them as the rows need."""
+    Ranges hold about `most` pieces and gaps, which bounds what a task holds; there are as many of them as the rows need.
+    Once at most `last` pieces are left, one task takes them with as many of the largest gaps. A piece that none of those
+    holds has no gap at all, as at least one of them is untouched and no other gap is larger."""
     spark = scratch.spark
     state = pieces.select(F.lit(False).alias("gap"), "id", F.col("length").alias("size"))
-    missing, rows = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
-    opened, placed, stuck = 0, [], True
-    while missing:
+    missing, left = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    opened, gaps, placed, stuck = 0, 0, [], True
+    while left > last:
         if stuck:
             more = -(-missing // capacity)
             state = state.unionByName(spark.range(opened, opened + more).select(F.lit(True).alias("gap"), "id", F.lit(capacity).cast("long").alias("size")))
-            opened, rows = opened + more, rows + more
+            opened, gaps = opened + more, gaps + more
         order = ["size", "gap", "id"]
-        swept = scratch.save(state.repartitionByRange(-(-rows // most), *order).sortWithinPartitions(*order).mapInArrow(_sweep(capacity), _STATE + ", sequence_id long, offset long, part long, nth long"))
-        left, free = (F.col("nth") >= 0) & ~F.col("gap"), (F.col("nth") >= 0) & F.col("gap")
-        sums = [F.count_if(left).alias("left"), F.count_if(F.col("gap") & (F.col("size") > 0)).alias("gaps"), F.count_if(free).alias("free"), F.count_if(F.col("sequence_id") >= 0).alias("put"), F.sum(F.when(left, F.col("size")).otherwise(0)).alias("tokens")]
+        swept = scratch.save(state.repartitionByRange(-(-(left + gaps) // most), *order).sortWithinPartitions(*order).mapInArrow(_sweep(capacity), _STATE + ", sequence_id long, offset long, part long, nth long"))
+        waits, free = (F.col("nth") >= 0) & ~F.col("gap"), (F.col("nth") >= 0) & F.col("gap")
+        size = lambda which: F.when(which, F.col("size"))
+        sums = [F.count_if(waits).alias("left"), F.count_if(free).alias("free"), F.max(size(waits)).alias("longest"), F.min(size(free)).alias("least"), F.count_if(F.col("gap") & (F.col("size") > 0)).alias("gaps"), F.count_if(F.col("sequence_id") >= 0).alias("put"), F.coalesce(F.sum(size(waits)), F.lit(0)).alias("tokens")]
         ranges = sorted(swept.groupBy("part").agg(*sums).collect())  # a row for each range
-        runs = _meet([(r["part"], r["left"], r["free"]) for r in ranges])
-        rows = sum(r["left"] + r["gaps"] for r in ranges)
-        missing, stuck = sum(r["tokens"] for r in ranges), not runs and not any(r["put"] for r in ranges)
+        runs, met = _meet([(r["part"], r["left"], r["free"], r["longest"], r["least"]) for r in ranges])
+        left, gaps, missing = sum(r["left"] for r in ranges) - met, sum(r["gaps"] for r in ranges), sum(r["tokens"] for r in ranges)
+        stuck = not runs and not any(r["put"] for r in ranges)
         placed.append(swept.where("sequence_id >= 0").select("id", "sequence_id", "offset"))
         rest = swept.where("sequence_id < 0 AND size > 0")
         state = rest.select("gap", "id", "size")
         if runs:
-            links = spark.createDataFrame(runs, "gap boolean, part long, a long, b long, link long")  # at most four rows for each range
+            links = spark.createDataFrame(runs, "gap boolean, part long, a long, b long, link long, times long")  # at most four rows for each range
             linked = rest.join(F.broadcast(links), (rest.gap == links.gap) & (rest.part == links.part) & rest.nth.between(links.a, links.b), "left")
-            linked = linked.select(rest.gap, "id", "size", (links.link + rest.nth - links.a).alias("link"))
-            gaps = linked.where("gap").select("link", F.col("id").alias("sequence_id"), F.col("size").alias("room"))
-            met = scratch.save(linked.where("NOT gap").join(gaps, "link").select("id", "size", "sequence_id", "room"))
-            placed.append(met.select("id", "sequence_id", (capacity - F.col("room")).alias("offset")))
-            state = linked.where("link IS NULL").select("gap", "id", "size").unionByName(met.where("room > size").select(F.lit(True).alias("gap"), F.col("sequence_id").alias("id"), (F.col("room") - F.col("size")).alias("size")))
-            missing -= met.agg(F.sum("size")).first()[0]
+            linked = linked.select(rest.gap, "id", "size", (links.link + F.expr("(nth - a) DIV times")).alias("link"))
+            rooms = linked.where("gap").select("link", F.col("id").alias("sequence_id"), F.col("size").alias("room"))
+            own = Window.partitionBy("link").orderBy(F.desc("size"), "id").rowsBetween(Window.unboundedPreceding, 0)  # at most `times` rows
+            found = scratch.save(linked.where("NOT gap").join(rooms, "link").withColumn("filled", F.sum("size").over(own)).withColumn("end", F.lead("id").over(Window.partitionBy("link").orderBy(F.desc("size"), "id")).isNull()))
+            placed.append(found.select("id", "sequence_id", (capacity - F.col("room") + F.col("filled") - F.col("size")).alias("offset")))
+            state = linked.where("link IS NULL").select("gap", "id", "size").unionByName(found.where("end AND room > filled").select(F.lit(True).alias("gap"), F.col("sequence_id").alias("id"), (F.col("room") - F.col("filled")).alias("size")))
+    if left:
+        ends = state.where("NOT gap")
+        if gaps:
+            ends = ends.unionByName(state.where("gap").orderBy(F.desc("size"), "id").limit(left))
+        placed.append(scratch.save(ends.groupBy().applyInArrow(_finish(capacity, opened), "id long, sequence_id long, offset long")))
     out = placed[0] if placed else pieces.select("id", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     for x in placed[1:]:
         out = out.unionByName(x)

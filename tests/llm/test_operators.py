@@ -529,17 +529,18 @@ def test_best_fit_of_classes():
 
 def test_ranges_meet():
     # pieces left and gaps untouched by range: gaps take the nearest shorter range's pieces, no piece or gap twice
-    runs = packing._meet([(0, 5, 0), (1, 2, 1), (2, 0, 4), (3, 1, 0)])
-    assert runs == [(False, 0, 0, 0, 0), (True, 1, 0, 0, 0), (False, 1, 0, 1, 1), (True, 2, 0, 1, 1), (False, 0, 1, 2, 3), (True, 2, 2, 3, 3)]
+    runs, met = packing._meet([(0, 5, 0, 4, 0), (1, 2, 1, 8, 7), (2, 0, 4, 0, 9), (3, 1, 0, 20, 0)])
+    assert met == 7
+    assert runs == [(False, 0, 0, 0, 0, 1), (True, 1, 0, 0, 0, 1), (False, 1, 0, 1, 1, 1), (True, 2, 0, 1, 1, 1), (False, 0, 1, 4, 3, 2), (True, 2, 2, 3, 3, 1)]
 
 
-@pytest.mark.parametrize("most", [10_000, 200])
-def test_best_fit_rounds(spark, most):
+@pytest.mark.parametrize(("most", "last"), [(10_000, 0), (200, 0), (200, 100), (200, 10_000)])
+def test_best_fit_rounds(spark, most, last):
     """Many ranges or one: every piece once, no sequence over the capacity, gapless, near the fewest sequences."""
     r = random.Random(10)
     lengths = [*(r.choice([1, 3, 40, 100, 100, r.randint(1, 100), r.randint(1, 30)]) for _ in range(900)), *[51] * 60]
     table = spark.createDataFrame(list(enumerate(lengths)), "id long, length long")
-    rows = packing.best_fit(Scratch(spark, "best-fit"), table, 100, most).collect()
+    rows = packing.best_fit(Scratch(spark, "best-fit"), table, 100, most, last).collect()
     assert sorted(x["id"] for x in rows) == list(range(len(lengths)))
     sequences: dict = {}
     for x in rows:

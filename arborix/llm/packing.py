@@ -17,6 +17,7 @@ import os
 import re
 import zlib
 from collections import deque
+from collections.abc import Sequence
 from functools import lru_cache
 from itertools import repeat
 
@@ -38,7 +39,8 @@ class WordIds:
     """Ids of white-space delimited words, remembered up to about `most` distinct words; when full, those seen in several texts stay.
 
     The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row.
-    New words are encoded together: plain ones in long rows, which are cut again where a piece's last token tells its end."""
+    New words are encoded together: plain ones, without their marks, in long rows, which are cut again where a piece's last token
+    tells its end; what they are made of is remembered with them."""
 
     def __init__(self, path: str, most: int = 500_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,30 +86,46 @@ class WordIds:
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > self.most:
             self._forget(max(0, min(self.most // 2, self.most - len(words))))
-        plain, pieces, rest = [], [], []
+        plain, marked, rest = {}, [], []  # a word with marks has the ids of its letters and then of the marks
         for w in words:
             if w in self.known:
                 continue
             m = _PLAIN.fullmatch(text := w.decode("utf-8", "replace")) if self.rows else None
-            if m:
-                plain.append((w, text))
-                pieces.append(2 if m[1] else 1)
-            else:
+            if not m:
                 rest.append((w, text))
-        for a in range(0, len(plain), 250):
-            own, need = plain[a : a + 250], np.array(pieces[a : a + 250])
-            ids = np.array(self.tokenizer.encode(" ".join(t for _, t in own), add_special_tokens=False).ids, np.uint32)
+            elif n := len(m[1]):
+                stem, marks = w[:-n], w[-n:]
+                marked.append((w, stem, marks))
+                if stem not in self.known:
+                    plain[stem] = text[:-n]
+                if marks not in self.known:
+                    plain[marks] = m[1]
+            else:
+                plain[w] = text
+        rows = list(plain.items())
+        for a in range(0, len(rows), 250):
+            own = rows[a : a + 250]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(t for _, t in own)], add_special_tokens=False)[0].ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == need.sum():
-                stops = stops[np.cumsum(need) - 1]
-                self._put([w for w, _ in own], ids, np.diff(np.concatenate(([0], stops))))
+            if len(stops) == len(own):
+                self._put([w for w, _ in own], ids, np.diff(stops, prepend=0))
             else:
                 rest += own
         if rest:
-            found = [e.ids for e in self.tokenizer.encode_batch([t for _, t in rest], add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)]
             self._put([w for w, _ in rest], np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64))
+        if marked:
+            names, stems, marks = zip(*marked, strict=True)
+            at = np.column_stack((self._look(stems), self._look(marks)))
+            size = self.size[at]
+            self._put(list(names), self._ids(at.ravel()), size.sum(1))
 
-    def _look(self, words: list[bytes]) -> np.ndarray:
+    def _ids(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, in a row."""
+        size = self.size[at]
+        return self.flat[np.repeat(self.start[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+
+    def _look(self, words: Sequence[bytes]) -> np.ndarray:
         """The places of words, -1 for what isn't known."""
         return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
 
@@ -136,9 +154,7 @@ class WordIds:
                 miss = np.flatnonzero(at < 0)
                 at[miss] = self._look([words[k] for k in miss.tolist()])
             self.hits[at] += 1  # a text counts once
-            size = self.size[at]
-            before = np.cumsum(size) - size
-            out.append(self.flat[np.repeat(self.start[at] - before, size) + np.arange(int(size.sum()))])
+            out.append(self._ids(at))
         return out
 
 

@@ -37,6 +37,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        self.frames: list[DataFrame] = []
         lean(spark)
 
     def save(self, df: DataFrame) -> DataFrame:
@@ -45,6 +46,7 @@ class Scratch:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self.frames.append(out)
         return out
 
     def save_by(self, df: DataFrame, column: str) -> DataFrame:
@@ -54,15 +56,23 @@ class Scratch:
         df.write.bucketBy(n_parts(self.spark), column).option("path", path).saveAsTable(name)
         out = self.spark.table(name)
         out._scratch_path, out._scratch_table = path, name
+        self.frames.append(out)
         return out
 
+    def keep(self, *frames: DataFrame) -> None:
+        """Drop all tables but these; nothing that reads the others may run later."""
+        self.drop(*(x for x in self.frames if not any(x is y for y in frames)))
+
+    def delete(self, where: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def drop(self, *frames: DataFrame) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for df in frames:
             if table := getattr(df, "_scratch_table", None):
                 self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(conf).delete(path, True)
+            self.delete(df._scratch_path)
+        self.frames = [x for x in self.frames if not any(x is y for y in frames)]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, langid, licenses, minhash, packing, quality, suffix_dedup, token_counts, vector_graph
+from . import alignment, decontaminate, divergence, html_text, langid, licenses, minhash, packing, quality, suffix_dedup, token_counts, vector_graph, warc
 from .common import read
 
 
@@ -61,5 +61,17 @@ def op10_language_id(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_token_counts, op3_decontaminate, op4_license_scan, op5_suffix_dedup, op6_quality, op7_minhash, op8_packing, op9_vector_graph, op10_language_id)}
-SQL = {"op3_decontaminate": decontaminate.SQL}
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark, sf_dir):
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op13_alignment(spark, sf_dir):
+    return alignment.align(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), _pattern(), _vocabulary("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_token_counts, op3_decontaminate, op4_license_scan, op5_suffix_dedup, op6_quality, op7_minhash, op8_packing, op9_vector_graph, op10_language_id, op11_source_divergence, op12_warc, op13_alignment)}
+SQL = {"op3_decontaminate": decontaminate.SQL, "op11_source_divergence": divergence.SQL, "op12_warc": warc.SQL}

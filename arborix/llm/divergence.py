@@ -199,7 +199,7 @@ def rounds(seats: int) -> list[list[tuple[int, int]]]:
     return out
 
 
-def audit(docs: DataFrame, least_docs: int = 3, top: int = 200, seats: int = 6, cell_rows: int = 200_000) -> DataFrame:
+def audit(docs: DataFrame, least_docs: int = 3, top: int = 200, seats: int = 6, cell_rows: int = 25_000) -> DataFrame:
     """(lang, source, part, item, value, rank) of documents (text, lang, source).
 
     Part `pair` has a row for each other source of the language, part `term` the `top` terms that the source uses more than its

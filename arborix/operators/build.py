@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import for_hash, logic_hint
-from .tables import walk_down
+from ..functions.text import for_hash, logic_hint, strip_marks
+from ..sources.package import settled
 
 
 def ref_registry(source: DataFrame) -> DataFrame:
@@ -16,28 +18,47 @@ def ref_registry(source: DataFrame) -> DataFrame:
     return rows.select(F.concat(F.lit("sr."), F.substring("h", 1, 14)).alias("ref_id"), F.col("f.text").alias("text"), F.col("f.id").alias("first_id"), "uses")
 
 
-def logic_nodes(source: DataFrame, code: str) -> DataFrame:
-    """TREE-3 to TREE-6 over (id, parent, text): (id, parent, root, depth, kind, operator, key, example_only, strict, text).
+def leaf_key(code: str, source_id: Column) -> Column:
+    """The key of a leaf that no name fits: a hash of its source's id."""
+    return F.concat(F.lit(f"leaf_{re.sub('[^a-z0-9]', '', code.strip().lower())}_"), F.substring(F.sha2(source_id, 256), 1, 16))
 
-    A node without children is atomic and tested for truth, with a key from its text; another is composite, with the
-    operator that its text hints at, else AND. What stands under an example set is an example too."""
-    walked = walk_down(source.select("id", "parent"))
+
+def logic_nodes(source: DataFrame, code: str) -> DataFrame:
+    """TREE-3 to TREE-6 over (id, parent, ord, text): (id, parent, root, depth, place, kind, operator, key, example_only, strict, text).
+
+    A node without children is atomic and tested for truth. Another is composite, with the operator that its text hints at, whatever that is
+    (S8); without a hint it is OPTIONS if its text says "options include", else CHECKLIST. What stands anywhere under an example set is an
+    example if it is a leaf; a composite is one only by its own operator (S11). `place` orders a tree's nodes as they are entered,
+    siblings by (ord, id). The source is read once; each level is one join. Ids are distinct; what no root reaches has no row."""
+    text = F.coalesce("text", F.lit(""))
+    other = F.when(F.lower(text).contains("options include"), "OPTIONS").otherwise("CHECKLIST")
     inner = source.where("parent IS NOT NULL").select(F.col("parent").alias("id")).distinct().withColumn("inner", F.lit(True))
-    hint = F.coalesce(logic_hint(F.col("text"))["inferred_operator"], F.lit("AND"))
-    hint = F.when(hint == "criteria_intro", "AND").otherwise(hint)
-    rows = source.join(inner, "id", "left").withColumn("inner", F.coalesce("inner", F.lit(False))).withColumn("operator", F.when(F.col("inner"), hint).otherwise("IS_TRUE"))
-    sets = rows.where("operator = 'EXAMPLE_SET'").select(F.col("id").alias("above"))
-    examples = walked.select("id", F.explode("ids").alias("above")).join(sets, "above", "left_semi").select("id").distinct().withColumn("example_only", F.lit(True))
-    key = F.when(~F.col("inner"), F.concat(F.lit(f"leaf_{code}_"), F.substring(F.sha2(for_hash(F.col("text")), 256), 1, 16)))
-    out = rows.join(walked.select("id", "root", "depth"), "id").join(examples, "id", "left").withColumn("example_only", F.coalesce("example_only", F.lit(False)))
-    return out.select("id", "parent", "root", "depth", F.when(F.col("inner"), "composite").otherwise("atomic").alias("kind"), "operator", key.alias("key"), "example_only", (~F.col("example_only")).alias("strict"), "text")
-
-
-def dictionary(nodes: DataFrame) -> DataFrame:
-    """TREE-12 over logic nodes: (id, condition_key, role, parent_operator), a row for each node, with its id where it has no key."""
+    rows = source.select("id", "parent", "ord", "text").join(inner, "id", "left").withColumn("inner", F.coalesce("inner", F.lit(False)))
+    rows = settled(rows.withColumn("operator", F.when(F.col("inner"), F.coalesce(logic_hint(F.col("text"))["inferred_operator"], other)).otherwise("IS_TRUE")))
+    own = F.col("inner") & (F.col("operator") == "EXAMPLE_SET")
+    below = rows.where("parent IS NOT NULL")
+    level = rows.where("parent IS NULL").select(*rows.columns, F.col("id").alias("root"), F.lit(0).alias("depth"), F.array(F.struct("ord", "id")).alias("place"), F.lit(False).alias("inherited"))
+    out = level
+    while True:
+        above = level.select(F.col("id").alias("parent"), "root", F.col("depth") + 1, F.col("place").alias("_place"), (F.col("inherited") | own).alias("inherited")).toDF("parent", "root", "depth", "_place", "inherited")
+        level = settled(below.join(above, "parent").withColumn("place", F.concat("_place", F.array(F.struct("ord", "id")))).select(*out.columns))
+        if level.isEmpty():
+            break
+        out = out.unionByName(level)
+    example = F.when(F.col("inner"), own).otherwise(F.col("inherited"))
+    return out.select("id", "parent", "root", "depth", "place", F.when(F.col("inner"), "composite").otherwise("atomic").alias("kind"), "operator", F.when(~F.col("inner"), leaf_key(code, F.col("id"))).alias("key"), example.alias("example_only"), (~example).alias("strict"), "text")
+
+
+def dictionary(nodes: DataFrame, domain: str = "domain") -> DataFrame:
+    """TREE-12 over logic nodes with the name of their domain: (id, condition_key, role, parent_operator), a row for each node.
+
+    Composites and contexts are named so; in a discharge domain what stands under OPTIONS is an option and the rest a checklist item; all else is
+    an atomic fact. A node without a key has its id with `_` for dots, a composite with `_composite` after it."""
     above = nodes.select(F.col("id").alias("parent"), F.col("operator").alias("parent_operator"))
-    role = F.when(F.col("parent").isNull(), "root").when(F.col("kind") == "composite", "group").when(F.col("parent_operator") == "OR", "alternative").when(F.col("parent_operator") == "AND", "requirement").otherwise("detail")
-    return nodes.join(above, "parent", "left").select("id", F.coalesce("key", F.concat(F.lit("node_"), "id")).alias("condition_key"), role.alias("role"), "parent_operator")
+    discharge = F.coalesce(F.col(domain), F.lit("")).contains("discharge")
+    role = F.when(F.col("kind").isin("composite", "context"), F.col("kind")).when(discharge & F.coalesce(F.col("parent_operator") == "OPTIONS", F.lit(False)), "option").when(discharge, "checklist_item").otherwise("atomic_fact")
+    named = F.concat(F.replace("id", F.lit("."), F.lit("_")), F.when(F.col("kind") == "composite", "_composite").otherwise(""))
+    return nodes.join(above, "parent", "left").select("id", F.coalesce(F.nullif("key", F.lit("")), named).alias("condition_key"), role.alias("role"), "parent_operator")
 
 
 def hygiene(nodes: DataFrame, synthetic: list[str]) -> DataFrame:
@@ -48,10 +69,18 @@ def hygiene(nodes: DataFrame, synthetic: list[str]) -> DataFrame:
     return nodes.select("id", F.explode(F.array_compact(checks)).alias("check_id")).select("check_id", "id")
 
 
+def tree_line(kind: Column, operator: Column, measurement: Column, text: Column) -> Column:
+    """TREE-14: a node's line: its kind or operator in brackets, and 172 characters of its text without marks."""
+    op = F.coalesce(operator, F.lit(""))
+    tested = F.concat(F.lit("[atomic "), op, F.lit(" "), F.coalesce(measurement, F.lit("")), F.lit("]"))
+    head = F.when(kind == "context", "[context]").when((kind == "atomic") & op.isin("<", "<=", ">", ">="), tested).when(kind == "atomic", "[atomic]").otherwise(F.concat(F.lit("["), op, F.lit("]")))
+    return F.concat(head, F.lit(" "), F.substring(strip_marks(text), 1, 172))
+
+
 def indented(nodes: DataFrame) -> DataFrame:
-    """TREE-14 over (root, id, depth, label): (root, text), a line for each node in order of ids, indented by its depth; a tree is one row, as its text is one value."""
-    line = F.concat(F.repeat(F.lit("  "), F.col("depth")), F.lit("- "), F.col("label"))
-    return nodes.groupBy("root").agg(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))).alias("l")).select("root", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
+    """TREE-14 over (root, place, depth, line): (root, text), a line for each node in the order of places, indented by its depth; a tree is one row, as its text is one value."""
+    line = F.concat(F.repeat(F.lit("  "), F.col("depth")), F.col("line"))
+    return nodes.groupBy("root").agg(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))).alias("l")).select("root", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
 
 
 def logic_checks(nodes: DataFrame, refs: DataFrame) -> DataFrame:
@@ -82,12 +111,22 @@ def definition_flags(atoms: DataFrame, flags: dict[str, Column]) -> DataFrame:
     return atoms.agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(k) for k, c in flags.items()])
 
 
-def linkage_summary(rows: DataFrame) -> DataFrame:
-    """AGG-9, AGG-13 over (leaf, named, linked): counts in one row, ready if every named leaf is linked."""
-    hashed = F.col("leaf") & ~F.col("named")
+def linkage_summary(rows: DataFrame, titles: DataFrame, code: str, watched: dict[str, str]) -> DataFrame:
+    """AGG-9, AGG-13 over leaves (key, head, status) and titles (head) of definitions: counts in one row.
+
+    A leaf with a key made from its source is hashed, another is named. `missing` are hashed leaves whose headline is a definition's title;
+    each watched phrase has a flag, true if a hashed leaf's headline holds it. The links are `ready` with none of either."""
+    hashed = F.coalesce(F.col("key").startswith(f"leaf_{code.lower()}_"), F.lit(False))
+    known = titles.where("head <> ''").select("head").distinct().withColumn("titled", F.lit(True))
+    both = rows.join(known, "head", "left")
     count = lambda c: F.count_if(c)
-    out = rows.agg(F.count("*").alias("nodes"), count(F.col("leaf")).alias("leaves"), count(F.col("leaf") & F.col("named")).alias("named"), count(hashed).alias("hashed"), count(F.col("leaf") & F.col("named") & F.col("linked")).alias("linked"))
-    return out.withColumn("ready", F.col("linked") == F.col("named"))
+    status = lambda x: count(F.col("status") == x)
+    flags = {name: F.coalesce(F.bool_or(hashed & F.col("head").contains(phrase)), F.lit(False)) for name, phrase in watched.items()}
+    out = both.agg(F.count("*").alias("leaves"), count(hashed).alias("hashed"), count(~hashed & F.col("key").isNotNull()).alias("named"), status("linked_shared_definition").alias("linked"), status("linked_shared_atomic_definition").alias("linked_atomic"), status("unlinked").alias("unlinked"), count(hashed & F.col("titled")).alias("missing"), *(c.alias(k) for k, c in flags.items()))
+    ready = F.col("missing") == 0
+    for name in flags:
+        ready = ready & ~F.col(name)
+    return out.withColumn("ready", ready)
 
 
 def dashboard(rows: DataFrame, by: str, flags: dict[str, Column], known: Column) -> DataFrame:

@@ -498,19 +498,59 @@ def capture_status_rollup(spark, sf_dir):
     return e.select("user_id", tables.capture_status(F.col("x") >= 4, reasons).alias("status")).groupBy("status").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("user_id")).alias("users"))
 
 
-@query("SELECT event_id, (props ->> '$.k')::BIGINT AS k, CASE WHEN (props ->> '$.k')::INT > 50 THEN 'YES' ELSE 'NO' END AS admission, event_type <> 'error' AND (props ->> '$.k')::INT > 10 AS mapped FROM events")
+#: Envelopes from events: the rule engine under three names or none, admission in seven places as text, flag, number, list or null, criteria in seven lists.
+_ENGINE = "CASE event_id % 4 WHEN 0 THEN 'rule_engine' WHEN 1 THEN 'deterministic_rule_engine' WHEN 2 THEN 'rule_engine_result' ELSE 'nothing' END"
+_SAID = "CASE user_id % 9 WHEN 0 THEN '\"y\"' WHEN 1 THEN '\"Deny\"' WHEN 2 THEN 'true' WHEN 3 THEN '[1]' WHEN 4 THEN '\"\"' WHEN 5 THEN '\"recommended\"' WHEN 6 THEN 'null' WHEN 7 THEN '\"uncertain\"' ELSE '{\"status\": null, \"code\": \"NOT_MET\"}' END"
+_PLACE = "CASE event_type WHEN 'view' THEN 'admission' WHEN 'click' THEN 'recommendation' WHEN 'signup' THEN 'admission_decision' ELSE 'other' END"
+_OUTER = "CASE event_type WHEN 'error' THEN 'admission_recommendation' WHEN 'purchase' THEN 'admission' ELSE 'admission_decision' END"
+_ROWS = "'[{\"result\": ' || CASE user_id % 3 WHEN 0 THEN '\"met\"' WHEN 1 THEN '\"\"' ELSE 'null' END || ', \"trilean\": \"false\", \"n\": ' || event_id || '}, 7, null]'"
+_LIST = "CASE event_id % 5 WHEN 0 THEN 'criteria_evaluations' WHEN 1 THEN 'evaluations' ELSE 'none' END"
+_INNER_LIST = "CASE user_id % 3 WHEN 0 THEN 'top_criteria' WHEN 1 THEN 'rows' ELSE 'none' END"
+_ENVELOPE = f"""'{{"evaluation_rows": [], "' || {_LIST} || '": ' || {_ROWS} || ', "k": ' || user_id || ', "selected_module": {{"code": ' || CASE event_id % 3 WHEN 0 THEN '"M1"' WHEN 1 THEN '5' ELSE '[]' END || ', "title": null, "name": "Name"}}, "module": {{"code": "M2", "title": "Two"}}, "' || {_ENGINE} || '": {{"' || {_PLACE} || '": ' || {_SAID} || ', "' || {_INNER_LIST} || '": ' || {_ROWS} || '}}, "' || {_OUTER} || '": ' || {_SAID} || '}}'"""
+_TOKEN = "CASE user_id % 9 WHEN 0 THEN 'YES' WHEN 1 THEN 'NO' WHEN 2 THEN 'YES' WHEN 7 THEN 'UNKNOWN' END"
+
+
+def _envelopes(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr("event_id", "user_id", "event_type", "props", f"{_ENVELOPE} AS envelope")
+
+
+@query(
+    f"SELECT event_id, (props ->> '$.k')::BIGINT AS k, coalesce(CASE WHEN event_id % 4 <> 3 AND event_type IN ('view', 'click', 'signup') THEN {_TOKEN} END, CASE WHEN event_type <> 'error' THEN {_TOKEN} END, CASE WHEN event_type = 'error' AND user_id % 9 = 8 THEN 'NO' END, 'UNKNOWN') AS admission, event_type <> 'error' AND (props ->> '$.k')::INT > 10 AS mapped FROM events"
+)
 def envelope_props(spark, sf_dir):
-    """EVAL-14, EVAL-15, EVAL-18, FN-36, FN-37."""
-    e = table(spark, sf_dir, "events")
+    """EVAL-14, EVAL-15, EVAL-18, FN-36, FN-37: facts of events, and the admission of envelopes that hold it in seven places."""
+    e = _envelopes(spark, sf_dir)
     k = envelope.text_then_first(F.col("props"), ["$.key", "$.k"])
-    return e.select("event_id", k.cast("long").alias("k"), envelope.admission(F.when(k.cast("int") > 50, "admit").otherwise("not_met")).alias("admission"), (envelope.fact_mapped(k, F.col("event_type") != "error") & (k.cast("int") > 10)).alias("mapped"))
+    return e.select("event_id", k.cast("long").alias("k"), envelope.admission(F.col("envelope")).alias("admission"), (envelope.fact_mapped(k, F.col("event_type") != "error") & (k.cast("int") > 10)).alias("mapped"))
+
+
+@query(
+    """WITH held AS (SELECT event_id, user_id, CASE WHEN event_id % 5 IN (0, 1) THEN true WHEN event_id % 4 <> 3 AND user_id % 3 IN (0, 1) THEN true ELSE false END AS any_list FROM events)
+    SELECT event_id, pos, CASE WHEN pos > 0 THEN 'UNKNOWN' WHEN user_id % 3 = 0 THEN 'TRUE' WHEN user_id % 3 = 1 THEN 'UNKNOWN' ELSE 'FALSE' END AS result, CASE WHEN pos = 0 THEN event_id END AS n, CASE event_id % 3 WHEN 0 THEN 'M1' WHEN 1 THEN '5' ELSE 'M2' END AS code, 'Name' AS title FROM held, (SELECT unnest([0, 1, 2]) AS pos) WHERE any_list"""
+)
+def envelope_criteria(spark, sf_dir):
+    """EVAL-16, EVAL-17, FN-38: the criteria of every envelope from the first of seven lists that has any, with its module."""
+    e = _envelopes(spark, sf_dir).select("event_id", F.try_parse_json("envelope").alias("v"))
+    none = F.lit(None).cast("string")
+    e = e.withColumn("module", envelope.selected_module(F.col("v"), none, none, F.create_map().cast("map<string,string>")))
+    field = lambda name: envelope.variant_text(F.try_variant_get("criterion", f"$.{name}", "variant"))
+    result = envelope.criterion_result(field("result"), field("trilean"), F.lit(None).cast("boolean"))
+    return envelope.criteria(e, "v").select("event_id", "pos", result.alias("result"), field("n").cast("long").alias("n"), "module.code", "module.title")
+
+
+@query("SELECT event_id, list_concat(CASE WHEN event_id % 3 = 0 THEN [] ELSE ['schema_version mismatch: ' || CASE event_id % 3 WHEN 1 THEN 'v0' ELSE 'None' END] END, list_filter(CASE WHEN user_id % 2 = 0 THEN ['missing top-level key: sections', 'missing top-level key: codes'] ELSE ['missing top-level key: codes'] END, lambda x: true)) AS errors FROM events")
+def document_keys(spark, sf_dir):
+    """VAL-1: documents from events, some without their schema's name, some without sections, with a key that holds null, all without codes."""
+    text = "'{' || CASE event_id % 3 WHEN 0 THEN '\"schema_version\": \"mcg_source_tree.v1\", ' WHEN 1 THEN '\"schema_version\": \"v0\", ' ELSE '' END || CASE WHEN user_id % 2 = 0 THEN '' ELSE '\"sections\": [], ' END || '\"source_document\": {}, \"source_nodes\": null, \"tables\": [], \"footnotes\": [], \"references\": [], \"collapse_expand_map\": {}, \"audit\": ' || props || '}'"
+    rows = table(spark, sf_dir, "events").selectExpr("event_id", f"{text} AS text")
+    return rows.select("event_id", envelope.document_errors(F.try_parse_json("text")).alias("errors"))
 
 
 @query("SELECT user_id, count(*) FILTER (event_type <> 'view') AS visible, count(*) FILTER (event_type = 'purchase') AS matched, count(*) FILTER (event_type IN ('error', 'signup')) AS unknown FROM events GROUP BY 1")
 def envelope_criterion_stats(spark, sf_dir):
-    """AGG-18, FN-38, FN-39, S18."""
+    """AGG-18, FN-38, FN-39, S18: an error's result is empty, which is unknown whatever its trilean."""
     e = table(spark, sf_dir, "events")
-    result = envelope.criterion_result(F.when(F.col("event_type") == "purchase", "MET").when(F.col("event_type") == "signup", "UNRESOLVED").when(F.col("event_type") == "click", "FALSE"), F.lit(None).cast("string"), F.lit(None).cast("boolean"))
+    result = envelope.criterion_result(F.when(F.col("event_type") == "purchase", "MET").when(F.col("event_type") == "signup", "UNRESOLVED").when(F.col("event_type") == "error", ""), F.when(F.col("event_type") != "click", "TRUE"), F.lit(False))
     noise = envelope.is_noise(F.col("event_type"), ("VIEW",))
     stats = envelope.criterion_stats(F.col("r"), F.col("z"))
     return e.select("user_id", result.alias("r"), noise.alias("z")).groupBy("user_id").agg(*[c.alias(k) for k, c in stats.items()])

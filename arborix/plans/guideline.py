@@ -149,28 +149,31 @@ def rule_labels(spark, sf_dir):
 
 # ---- trees -----------------------------------------------------------------------------------------------------
 
+_TOP = "CASE c_mktsegment WHEN 'BUILDING' THEN 'Examples include these: (1) [A]' WHEN 'AUTOMOBILE' THEN 'The OPTIONS include one' WHEN 'FURNITURE' THEN 'As indicated by this' WHEN 'MACHINERY' THEN '1 or more of the following' ELSE 'Customer' END"
 _HEAD = "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '1 or more of the following' WHEN '2' THEN 'All of the following' WHEN '3' THEN 'Examples include these' WHEN '4' THEN 'May include these' ELSE 'Order' END"
 _LEAF = "'item ' || l_partkey % 50 || CASE WHEN l_returnflag = 'R' THEN ' returned' ELSE '' END"
 
 
 def _source(spark, sf_dir):
-    """Orders and their lines as a source tree."""
-    heads = _inputs(spark, sf_dir, "orders", "'o' || o_orderkey AS id", "cast(NULL AS string) AS parent", f"{_HEAD} AS text", "0 AS ord")
-    lines = _inputs(spark, sf_dir, "lineitem", "'o' || l_orderkey || '.' || l_linenumber AS id", "'o' || l_orderkey AS parent", f"{_LEAF} AS text", "l_linenumber AS ord")
-    return heads.unionByName(lines.groupBy("id", "parent", "ord").agg(F.min("text").alias("text")))  # line numbers repeat
+    """Customers, their orders and the orders' lines as a source tree of three levels."""
+    tops = _inputs(spark, sf_dir, "customer", "'c' || c_custkey AS id", "cast(NULL AS string) AS parent", f"{_TOP} AS text", "cast(0 AS bigint) AS ord")
+    heads = _inputs(spark, sf_dir, "orders", "'o' || o_orderkey AS id", "'c' || o_custkey AS parent", f"{_HEAD} AS text", "cast(o_orderkey AS bigint) AS ord")
+    lines = _inputs(spark, sf_dir, "lineitem", "'o' || l_orderkey || '.' || l_linenumber AS id", "'o' || l_orderkey AS parent", f"{_LEAF} AS text", "cast(l_linenumber AS bigint) AS ord")
+    return tops.unionByName(heads).unionByName(lines.groupBy("id", "parent", "ord").agg(F.min("text").alias("text")))  # line numbers repeat
 
 
-_SOURCE = f"source AS (SELECT 'o' || o_orderkey AS id, NULL::VARCHAR AS parent, {_HEAD} AS text, 0 AS ord FROM orders UNION ALL SELECT 'o' || l_orderkey || '.' || l_linenumber, 'o' || l_orderkey, min({_LEAF}), l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber)"
-_OP = "CASE substr(p.text, 1, 3) WHEN '1 o' THEN 'OR' WHEN 'All' THEN 'AND' WHEN 'Exa' THEN 'EXAMPLE_SET' WHEN 'May' THEN 'OPTIONS' ELSE 'AND' END"
-_LOGIC = f"""{_SOURCE}, logic AS (SELECT p.id, p.parent, p.id AS root, 0 AS depth, 'composite' AS kind, {_OP} AS operator, NULL::VARCHAR AS key, p.text LIKE 'Exa%' AS example_only, p.text, p.ord FROM source p WHERE parent IS NULL AND id IN (SELECT parent FROM source WHERE parent IS NOT NULL)
-  UNION ALL SELECT p.id, p.parent, p.id, 0, 'atomic', 'IS_TRUE', 'leaf_o_' || sha256(lower(p.text))[1:16], false, p.text, p.ord FROM source p WHERE parent IS NULL AND id NOT IN (SELECT parent FROM source WHERE parent IS NOT NULL)
-  UNION ALL SELECT c.id, c.parent, p.id, 1, 'atomic', 'IS_TRUE', 'leaf_o_' || sha256(lower(c.text))[1:16], p.text LIKE 'Exa%', c.text, c.ord FROM source c JOIN source p ON c.parent = p.id)"""
+_SOURCE = f"source AS (SELECT 'c' || c_custkey AS id, NULL::VARCHAR AS parent, {_TOP} AS text, 0::BIGINT AS ord FROM customer UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey, {_HEAD}, o_orderkey FROM orders UNION ALL SELECT 'o' || l_orderkey || '.' || l_linenumber, 'o' || l_orderkey, min({_LEAF}), l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber)"
+_OP = "CASE substr(s.text, 1, 3) WHEN '1 o' THEN 'OR' WHEN 'All' THEN 'AND' WHEN 'Exa' THEN 'EXAMPLE_SET' WHEN 'May' THEN 'OPTIONS' WHEN 'The' THEN 'OPTIONS' WHEN 'As ' THEN 'criteria_intro' ELSE 'CHECKLIST' END"
+_LOGIC = f"""{_SOURCE}, kinds AS (SELECT s.*, s.id IN (SELECT parent FROM source WHERE parent IS NOT NULL) AS inner_node, {_OP} AS hinted FROM source s),
+logic AS (SELECT s.id, s.parent, coalesce(g.id, p.id, s.id) AS root, CASE WHEN p.id IS NULL THEN 0 WHEN g.id IS NULL THEN 1 ELSE 2 END AS depth, CASE WHEN s.inner_node THEN 'composite' ELSE 'atomic' END AS kind, CASE WHEN s.inner_node THEN s.hinted ELSE 'IS_TRUE' END AS operator,
+  CASE WHEN NOT s.inner_node THEN 'leaf_o1_' || sha256(s.id)[1:16] END AS key, CASE WHEN s.inner_node THEN s.hinted = 'EXAMPLE_SET' ELSE coalesce(p.hinted = 'EXAMPLE_SET', false) OR coalesce(g.hinted = 'EXAMPLE_SET', false) END AS example_only, s.text, coalesce(p.ord, 0) AS ord1, s.ord
+  FROM kinds s LEFT JOIN kinds p ON s.parent = p.id LEFT JOIN kinds g ON p.parent = g.id)"""
 
 
 @query(f"WITH {_LOGIC} SELECT id, parent, root, depth, kind, operator, key, example_only, NOT example_only AS strict FROM logic")
 def tree_logic_nodes(spark, sf_dir):
     """TREE-3 to TREE-6, TREE-10, TREE-22."""
-    return build.logic_nodes(_source(spark, sf_dir), "o").drop("text")
+    return build.logic_nodes(_source(spark, sf_dir), "O-1").drop("text", "place")
 
 
 @query(f"WITH {_SOURCE} SELECT 'sr.' || sha256(lower(text))[1:14] AS ref_id, arg_min(id, (ord, id)) AS first_id, count(*) AS uses FROM source GROUP BY lower(text)")
@@ -179,30 +182,31 @@ def tree_ref_registry(spark, sf_dir):
     return build.ref_registry(_source(spark, sf_dir)).select("ref_id", "first_id", "uses")
 
 
-@query(f"WITH {_LOGIC} SELECT l.id, coalesce(l.key, 'node_' || l.id) AS condition_key, CASE WHEN l.parent IS NULL THEN 'root' WHEN p.operator = 'OR' THEN 'alternative' WHEN p.operator = 'AND' THEN 'requirement' ELSE 'detail' END AS role, p.operator AS parent_operator FROM logic l LEFT JOIN logic p ON l.parent = p.id")
+@query(f"WITH {_LOGIC} SELECT l.id, coalesce(l.key, replace(l.id, '.', '_') || '_composite') AS condition_key, CASE WHEN l.kind = 'composite' THEN 'composite' WHEN substr(l.root, length(l.root)) NOT IN ('1', '3', '5') THEN 'atomic_fact' WHEN p.operator = 'OPTIONS' THEN 'option' ELSE 'checklist_item' END AS role, p.operator AS parent_operator FROM logic l LEFT JOIN logic p ON l.parent = p.id")
 def tree_dictionary(spark, sf_dir):
-    """TREE-12."""
-    return build.dictionary(build.logic_nodes(_source(spark, sf_dir), "o"))
+    """TREE-12: trees of some customers are discharge trees."""
+    nodes = build.logic_nodes(_source(spark, sf_dir), "O-1").withColumn("domain", F.when(F.substring("root", -1, 1).isin("1", "3", "5"), "M1.discharge_planning").otherwise("M1.admission"))
+    return build.dictionary(nodes)
 
 
 @query(f"WITH {_LOGIC} SELECT 'synthetic text' AS check_id, id FROM logic WHERE text = 'item 7' UNION ALL SELECT 'strict example', id FROM logic WHERE operator = 'EXAMPLE_SET'")
 def tree_hygiene(spark, sf_dir):
     """TREE-13: example sets count as strict here, as their flag is taken out."""
-    nodes = build.logic_nodes(_source(spark, sf_dir), "o").withColumn("strict", F.col("operator") == "EXAMPLE_SET")
+    nodes = build.logic_nodes(_source(spark, sf_dir), "O-1").withColumn("strict", F.col("operator") == "EXAMPLE_SET")
     return build.hygiene(nodes.withColumn("example_only", F.col("operator") == "EXAMPLE_SET"), ["item 7"])
 
 
-@query(f"WITH {_LOGIC} SELECT root, string_agg(repeat('  ', depth) || '- [' || kind || ' / ' || operator || '] ' || text, chr(10) ORDER BY id) AS text FROM logic GROUP BY root")
+@query(f"WITH {_LOGIC} SELECT root, string_agg(repeat('  ', depth) || CASE kind WHEN 'atomic' THEN '[atomic] ' ELSE '[' || operator || '] ' END || CASE WHEN text LIKE 'Exa%(1)%' THEN 'Examples include these: )' ELSE text END, chr(10) ORDER BY CASE depth WHEN 0 THEN 0 WHEN 1 THEN ord ELSE ord1 END, depth, ord) AS text FROM logic GROUP BY root")
 def tree_indented(spark, sf_dir):
-    """TREE-14 to TREE-16, FN-55."""
-    nodes = build.logic_nodes(_source(spark, sf_dir), "o")
-    return build.indented(nodes.withColumn("label", g.node_label(F.col("kind"), F.col("operator"), F.lit(""), F.col("text"))))
+    """TREE-14 to TREE-16."""
+    nodes = build.logic_nodes(_source(spark, sf_dir), "O-1")
+    return build.indented(nodes.withColumn("line", build.tree_line(F.col("kind"), F.col("operator"), F.lit(None).cast("string"), F.col("text"))))
 
 
-@query(f"WITH {_LOGIC} SELECT 'unknown reference' AS check_id, id FROM logic WHERE text LIKE '%returned' UNION ALL SELECT 'unknown parent', id FROM logic WHERE parent IN (SELECT id FROM logic WHERE operator = 'OPTIONS')")
+@query(f"WITH {_LOGIC} SELECT 'unknown reference' AS check_id, id FROM logic WHERE text LIKE '%returned' UNION ALL SELECT 'unknown parent', id FROM logic WHERE operator <> 'OPTIONS' AND parent IN (SELECT id FROM logic WHERE operator = 'OPTIONS')")
 def validate_logic_nodes(spark, sf_dir):
     """VAL-9: with references of returned items and the option groups taken out."""
-    nodes = build.logic_nodes(_source(spark, sf_dir), "o").withColumn("ref_id", F.sha1("text"))
+    nodes = build.logic_nodes(_source(spark, sf_dir), "O-1").withColumn("ref_id", F.sha1("text"))
     refs = nodes.where("NOT text LIKE '%returned'").select("ref_id").distinct()
     options = F.col("operator") != "OPTIONS"
     return build.logic_checks(nodes.where(options), refs)
@@ -301,10 +305,19 @@ def _linked(spark, sf_dir):
     return d.join(known, d["doc_id"] == known["k"], "left").select("doc_id", "lang", "source", (F.col("n_chars") > 1000).alias("leaf"), F.col("lang").isNotNull().alias("named"), F.col("k").isNotNull().alias("linked"))
 
 
-@query(f"SELECT *, linked = named AS ready FROM (SELECT count(*) AS nodes, count(*) FILTER (leaf) AS leaves, count(*) FILTER (leaf AND named) AS named, count(*) FILTER (leaf AND NOT named) AS hashed, count(*) FILTER (leaf AND named AND linked) AS linked FROM {_LINK})")
+_LEAVES = "SELECT d.doc_id, CASE WHEN d.doc_id % 3 = 0 THEN 'leaf_m1_' || d.doc_id WHEN d.doc_id % 3 = 1 THEN 'named_' || d.doc_id END AS key, coalesce(substr(lower(text), 1, 40), '') AS head, toxic, CASE WHEN quality = 1 THEN 'linked_shared_definition' WHEN quality = 0 THEN 'linked_shared_atomic_definition' ELSE 'unlinked' END AS status FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id"
+
+
+@query(
+    f"""WITH rows AS ({_LEAVES}), titles AS (SELECT DISTINCT head FROM rows WHERE toxic = 1 AND head <> ''), hashed AS (SELECT * FROM rows WHERE starts_with(key, 'leaf_m1_'))
+    SELECT *, missing = 0 AND NOT says_the AND NOT says_none AS ready FROM (SELECT (SELECT count(*) FROM rows) AS leaves, (SELECT count(*) FROM hashed) AS hashed, (SELECT count(*) FROM rows WHERE starts_with(key, 'named_')) AS named, (SELECT count(*) FROM rows WHERE status = 'linked_shared_definition') AS linked,
+    (SELECT count(*) FROM rows WHERE status = 'linked_shared_atomic_definition') AS linked_atomic, (SELECT count(*) FROM rows WHERE status = 'unlinked') AS unlinked, (SELECT count(*) FROM hashed WHERE head IN (FROM titles)) AS missing, (SELECT coalesce(bool_or(contains(head, 'the ')), false) FROM hashed) AS says_the, (SELECT coalesce(bool_or(contains(head, '%%%%')), false) FROM hashed) AS says_none)"""
+)
 def audit_linkage_summary(spark, sf_dir):
-    """AGG-9, AGG-10, AGG-13."""
-    return build.linkage_summary(_linked(spark, sf_dir))
+    """AGG-9, AGG-10, AGG-13: documents as leaves; the headlines of toxic ones are the definitions' titles."""
+    per = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    rows = table(spark, sf_dir, "documents").join(per, "doc_id", "left").selectExpr("doc_id", "CASE WHEN doc_id % 3 = 0 THEN 'leaf_m1_' || doc_id WHEN doc_id % 3 = 1 THEN 'named_' || doc_id END AS key", "coalesce(substr(lower(text), 1, 40), '') AS head", "toxic", "CASE WHEN quality = 1 THEN 'linked_shared_definition' WHEN quality = 0 THEN 'linked_shared_atomic_definition' ELSE 'unlinked' END AS status")
+    return build.linkage_summary(rows, rows.where("toxic = 1"), "M1", {"says_the": "the ", "says_none": "%%%%"})
 
 
 @query(f"SELECT source, count(*) AS n, count(*) FILTER (leaf) AS leaves, count(*) FILTER (leaf AND NOT linked) AS unlinked_leaves, greatest(0, count(*) - count(*) FILTER (linked)) AS \"left\" FROM {_LINK} GROUP BY 1")

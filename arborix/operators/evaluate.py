@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kleene import FALSE, TRUE, UNKNOWN, all_of, any_of, compare, name
+from ..sources.package import settled
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class Atom:
     value: float | None = None
     review: str = "ok"
     ready: bool | None = True
+    minus: str = ""  # a second fact: the number is the first less this one (DEFN-3)
 
 
 @dataclass(frozen=True)
@@ -60,19 +62,28 @@ class Rules:
             for c in n.children:
                 if c not in self.node:
                     raise KeyError(f"{n.id}: no node {c}")  # S22
-        state: dict[str, int] = {}
-
-        def visit(i: str) -> None:
-            if state.get(i) == 1:
-                raise ValueError(f"cycle at {i}")
-            if state.get(i) is None:
-                state[i] = 1
-                for c in self.children(i):
-                    visit(c)
-                state[i] = 2
-
-        for i in [*self.composite, *self.node]:
-            visit(i)
+        self.order = self._children_first()
+
+    def _children_first(self) -> list[str]:
+        """All ids that are evaluated, each after its children, however deep; a cycle is an error."""
+        done, open_ids, out = set(), set(), []
+        for top in [*self.atom, *self.composite, *self.node]:
+            stack = [(top, iter(self.children(top)))] if top not in done else []
+            open_ids.update(i for i, _ in stack)
+            while stack:
+                i, rest = stack[-1]
+                c = next(rest, None)
+                if c is None:
+                    stack.pop()
+                    open_ids.discard(i)
+                    done.add(i)
+                    out.append(i)
+                elif c in open_ids:
+                    raise ValueError(f"cycle at {c}")
+                elif c not in done:
+                    open_ids.add(c)
+                    stack.append((c, iter(self.children(c))))
+        return out
 
     def children(self, i: str) -> tuple[str, ...]:
         if i in self.node:
@@ -85,23 +96,21 @@ class Rules:
 
     def keys(self) -> dict[str, str]:
         """Condition keys that rules mention, and the kind of their facts."""
-        return {a.key: a.kind for a in self.atom.values()}
+        return {a.minus: "atomic_numeric" for a in self.atom.values() if a.minus} | {a.key: a.kind for a in self.atom.values()}
 
     def height(self) -> dict[str, int]:
         out: dict[str, int] = {}
-
-        def of(i: str) -> int:
-            if i not in out:
-                out[i] = 1 + max((of(c) for c in self.children(i)), default=-1)
-            return out[i]
-
-        for i in [*self.atom, *self.composite, *self.node]:
-            of(i)
+        for i in self.order:
+            out[i] = 1 + max((out[c] for c in self.children(i)), default=-1)
         return out
 
 
-def atom_trit(a: Atom, flag: Column, number: Column) -> Column:
-    """EVAL-5: flag is null unless the fact is exactly true or false (S3), number null if the fact is missing (S2)."""
+def atom_trit(a: Atom, flag: Column, number: Column, less: Column | None = None) -> Column:
+    """EVAL-5: flag is null unless the fact is exactly true or false (S3), number null if the fact is missing (S2).
+
+    Of an atom over two facts (DEFN-3) `less` is the second: either missing means FALSE, and so does a difference that is no number."""
+    if a.minus:
+        number = number - less
     if a.review == "needs_review" or a.ready is False:
         return F.lit(UNKNOWN)
     if a.kind == "atomic_flag":
@@ -130,7 +139,7 @@ def compiled(rules: Rules, wide: DataFrame, case: str = "case_id") -> DataFrame:
     null = {"b": F.lit(None).cast("boolean"), "n": F.lit(None).cast("double")}
     fact = lambda p, k: F.col(f"`{p}_{k}`") if f"{p}_{k}" in wide.columns else null[p]
     height = rules.height()
-    out = wide.withColumns({f"t_{a.id}": atom_trit(a, fact("b", a.key), fact("n", a.key)) for a in rules.atom.values()})
+    out = wide.withColumns({f"t_{a.id}": atom_trit(a, fact("b", a.key), fact("n", a.key), fact("n", a.minus) if a.minus else None) for a in rules.atom.values()})
     for h in range(max(height.values(), default=0) + 1):
         level = [i for i in [*rules.composite, *rules.node] if height[i] == h]
         if level:
@@ -196,37 +205,56 @@ def trace(rules: Rules, verdicts: DataFrame, case: str = "case_id") -> DataFrame
 
 
 def relational(rules: Rules, facts: DataFrame, cases: DataFrame) -> DataFrame:
-    """(case_id, id, trit) of all ids from facts (case_id, condition_key, fact_kind, b, n); the rules' tables are small and broadcast."""
+    """(case_id, id, trit) of all ids from facts (case_id, condition_key, fact_kind, b, n); the rules' tables are small and broadcast.
+
+    Each level of the rules is computed once, from the verdicts below it, and checkpointed. An atom over two facts (DEFN-3) is FALSE if
+    either is missing, else UNKNOWN if either isn't a number that can be read."""
     spark = facts.sparkSession
     height = rules.height()
-    atoms = spark.createDataFrame([(a.id, a.key, a.kind, a.operator, None if a.value is None else float(a.value), a.review == "needs_review" or a.ready is False) for a in rules.atom.values()], "id string, condition_key string, kind string, op string, value double, gated boolean")
-    known = facts.join(F.broadcast(atoms.select("condition_key").distinct()), "condition_key", "left_semi")
-    asked = cases.select("case_id").distinct().crossJoin(F.broadcast(atoms))  # a row for each atom of each case is the result itself
-    both = asked.join(known, ["case_id", "condition_key"], "left")
-    n, v, op = F.col("n"), F.col("value"), F.col("op")
+    atoms = spark.createDataFrame([(a.id, a.key, a.kind, a.operator, None if a.value is None else float(a.value), a.review == "needs_review" or a.ready is False, a.minus) for a in rules.atom.values()], "id string, condition_key string, kind string, op string, value double, gated boolean, minus string")
+    asked_for = atoms.select("condition_key").unionByName(atoms.select(F.col("minus").alias("condition_key"))).distinct()
+    known = facts.join(F.broadcast(asked_for), "condition_key", "left_semi")
+    one = cases.select("case_id").distinct()
+    asked = one.crossJoin(F.broadcast(atoms))  # a row for each atom of each case is the result itself
+    both = asked.join(known.select("case_id", "condition_key", "fact_kind", "b", "n"), ["case_id", "condition_key"], "left")
+    if any(a.minus for a in rules.atom.values()):
+        second = known.select("case_id", F.col("condition_key").alias("minus"), F.col("fact_kind").alias("less_kind"), F.col("n").alias("less"))
+        both = both.join(second, ["case_id", "minus"], "left")
+    else:
+        both = both.withColumns({"less_kind": F.lit(None).cast("string"), "less": F.lit(None).cast("double")})
+    v, op, paired = F.col("value"), F.col("op"), F.col("minus") != ""
+    n = F.when(paired, F.col("n") - F.col("less")).otherwise(F.col("n"))
+    missing = lambda kind: F.col(kind).isNull() | (F.col(kind) == "null")
     test = F.when(op == ">", n > v).when(op == ">=", n >= v).when(op == "<", n < v).when(op == "<=", n <= v).when(op.isin("==", "="), n == v).otherwise(F.raise_error(F.concat(F.lit("unsupported operator: "), op)).cast("boolean"))
     flag = F.when(op != "IS_TRUE", UNKNOWN).when((F.col("fact_kind") == "bool") & F.col("b"), TRUE).otherwise(FALSE)
-    number = F.when(F.col("fact_kind").isNull() | (F.col("fact_kind") == "null"), FALSE).when(n.isNull() | v.isNull(), UNKNOWN).when(test & ~F.isnan(n) & ~F.isnan(v), TRUE).otherwise(FALSE)
+    number = F.when(missing("fact_kind") | (paired & missing("less_kind")), FALSE).when(n.isNull() | v.isNull(), UNKNOWN).when(test & ~F.isnan(n) & ~F.isnan(v), TRUE).otherwise(FALSE)
     trit = F.when(F.col("gated"), UNKNOWN).when(F.col("kind") == "atomic_flag", flag).when(F.col("kind") == "atomic_numeric", number).otherwise(UNKNOWN)
-    done = both.select("case_id", "id", trit.alias("trit"))
+    done = settled(both.select("case_id", "id", trit.alias("trit")))
+    there = {*rules.atom, *rules.composite, *rules.node}
     for h in range(max(height.values(), default=0) + 1):
-        level = [i for i in [*rules.composite, *rules.node] if height[i] == h]
-        if not level:
-            continue
-        parts = [done]
-        gated = [(i,) for i in level if not rules.children(i)]
-        below = [(i, (rules.node.get(i) or rules.composite.get(i)).operator if i in rules.composite or rules.node[i].children else "AND", c) for i in level for c in rules.children(i)]
-        if below:
-            edges = F.broadcast(spark.createDataFrame(below, "parent string, op string, id string"))
-            joined = cases.select("case_id").distinct().crossJoin(edges).join(done, ["case_id", "id"], "left").withColumn("trit", F.coalesce("trit", F.lit(UNKNOWN)))
-            agg = joined.groupBy("case_id", F.col("parent").alias("id")).agg(F.when(F.first("op") == "OR", F.max("trit")).when(F.first("op") == "AND", F.min("trit")).otherwise(UNKNOWN).alias("trit"))
-            parts.append(agg)
-        if gated:
-            empty = {i: FALSE if (o := (rules.composite.get(i) or rules.node.get(i))).operator == "OR" and not o.children else TRUE if o.operator == "AND" and not o.children else UNKNOWN for (i,) in gated}
-            rows = spark.createDataFrame([(i, UNKNOWN if i in rules.node or rules.composite[i].review == "needs_review" else t) for i, t in empty.items()], "id string, trit int")
-            parts.append(cases.select("case_id").distinct().crossJoin(F.broadcast(rows)).select("case_id", "id", "trit"))
-        for p in parts[1:]:
-            done = done.unionByName(p)
+        edges, constant = [], []
+        for i in (i for i in [*rules.composite, *rules.node] if height[i] == h):
+            own, below = rules.composite.get(i) or rules.node[i], rules.children(i)
+            leaf = i in rules.node and not rules.node[i].children
+            how = "AND" if leaf else own.operator
+            if not below:
+                gated = leaf or isinstance(own, Composite) and own.review == "needs_review"
+                constant.append((i, UNKNOWN if gated else FALSE if how == "OR" else TRUE if how == "AND" else UNKNOWN))
+            elif how not in ("OR", "AND") or not (held := [c for c in below if c in there]):
+                constant.append((i, UNKNOWN))
+            else:
+                edges += [(i, how == "OR", len(held) < len(below), c) for c in dict.fromkeys(held)]
+        level = []
+        if edges:
+            wide = F.broadcast(spark.createDataFrame(edges, "parent string, any boolean, lost boolean, id string"))
+            best, worst, lost = F.max("trit"), F.min("trit"), F.bool_or("lost")  # a child that is nowhere is UNKNOWN
+            trit = F.when(F.bool_or("any"), F.when(lost, F.greatest(best, F.lit(UNKNOWN))).otherwise(best)).otherwise(F.when(lost, F.least(worst, F.lit(UNKNOWN))).otherwise(worst))
+            level.append(done.join(wide, "id").groupBy("case_id", F.col("parent").alias("id")).agg(trit.alias("trit")))
+        if constant:
+            level.append(one.crossJoin(F.broadcast(spark.createDataFrame(constant, "id string, trit int"))).select("case_id", "id", "trit"))
+        if level:
+            new = level[0].unionByName(level[1]) if len(level) > 1 else level[0]
+            done = done.unionByName(settled(new))
     return done
 
 

@@ -243,6 +243,12 @@ def flags(key: str, facts: list[str], op: str = "OR") -> tuple[list, list]:
     return atoms, [Composite(f"c.{key}", op, tuple(a.id for a in atoms), key=key)]
 
 
+def paired_drops(key: str, drops: list[tuple[str, str, str, float]]) -> tuple[list, list]:
+    """DEFN-3: any of several falls from one fact to another, as (name, from, to, least fall)."""
+    atoms = [Atom(f"a.{key}.{name}", before, "atomic_numeric", ">=", fall, minus=after) for name, before, after, fall in drops]
+    return atoms, [Composite(f"c.{key}", "OR", tuple(a.id for a in atoms), key=key)]
+
+
 def placeholder(key: str) -> tuple[list, list]:
     """DEFN-9, DEFN-14: a definition that nobody has checked yet: one atom, in review."""
     return [Atom(f"a.{key}", key, review="needs_review")], [Composite(f"c.{key}", "OR", (f"a.{key}",), key=key)]
@@ -278,6 +284,41 @@ def definition_bundles(spark, sf_dir):
     return evaluate.path_verdicts(DEFINITIONS, evaluate.compiled(DEFINITIONS, _wide(spark, sf_dir))).select("case_id", "path_id", "verdict")
 
 
+DROPS = definitions(
+    paired_drops("fall", [("price", "first_price", "last_price", 50000.0), ("debt", "last_price", "acctbal", 250000.0)]), paired_drops("rise", [("price", "last_price", "first_price", 100000.0)]), flags("known", ["has_orders"]),
+    over=[Composite("c.swing", "OR", ("c.fall", "c.rise"), key="swing"), Composite("c.sure", "AND", ("c.swing", "c.known", "c.nowhere"), key="sure")],
+)
+_DROPS_SQL = """WITH priced AS (SELECT o_custkey, arg_min(o_totalprice, (o_orderdate, o_orderkey)) AS p, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS q, count(*) AS n FROM orders GROUP BY 1),
+t AS (SELECT c_custkey AS case_id, greatest(CASE WHEN coalesce(p - q >= 50000, false) THEN 2 ELSE 0 END, CASE WHEN coalesce(q - c_acctbal >= 250000, false) THEN 2 ELSE 0 END) AS fall, CASE WHEN coalesce(q - p >= 100000, false) THEN 2 ELSE 0 END AS rise, CASE WHEN n > 0 THEN 2 ELSE 0 END AS known FROM customer LEFT JOIN priced ON c_custkey = o_custkey),
+u AS (SELECT *, greatest(fall, rise) AS swing FROM t), v AS (SELECT *, least(swing, known, 1) AS sure FROM u)
+"""
+
+
+def _priced(spark, sf_dir):
+    """First and last price, balance and flag of every customer."""
+    at = F.struct("o_orderdate", "o_orderkey")
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min_by("o_totalprice", at).alias("n_first_price"), F.max_by("o_totalprice", at).alias("n_last_price"))
+    both = table(spark, sf_dir, "customer").join(per, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return both.select(F.col("c_custkey").alias("case_id"), "n_first_price", "n_last_price", F.col("c_acctbal").alias("n_acctbal"), F.when(F.col("o_custkey").isNotNull(), True).alias("b_has_orders"))
+
+
+@query(_DROPS_SQL + " UNION ALL ".join(f"SELECT case_id, '{k}' AS path_id, {_NAME.format(k)} AS verdict FROM v" for k in ("fall", "rise", "known", "swing", "sure")))
+def definition_paired_drops(spark, sf_dir):
+    """DEFN-3: falls and rises between two facts of every customer, and conditions over them, by the compiled evaluator."""
+    return evaluate.path_verdicts(DROPS, evaluate.compiled(DROPS, _priced(spark, sf_dir))).select("case_id", "path_id", "verdict")
+
+
+@query(_DROPS_SQL + " UNION ALL ".join(f"SELECT case_id, 'n.{k}' AS id, {k}::INT AS trit FROM v" for k in ("fall", "rise", "known", "swing", "sure")))
+def definition_paired_drops_long(spark, sf_dir):
+    """DEFN-3, EVAL-3 to EVAL-9: the same over long facts by the relational evaluator."""
+    wide = _priced(spark, sf_dir)
+    number = lambda k: wide.where(F.col(f"n_{k}").isNotNull()).select("case_id", F.lit(k).alias("condition_key"), F.lit("num").alias("fact_kind"), F.lit(None).cast("boolean").alias("b"), F.col(f"n_{k}").alias("n"))
+    facts = number("first_price").unionByName(number("last_price")).unionByName(number("acctbal"))
+    facts = facts.unionByName(wide.where("b_has_orders").select("case_id", F.lit("has_orders").alias("condition_key"), F.lit("bool").alias("fact_kind"), F.lit(True).alias("b"), F.lit(None).cast("double").alias("n")))
+    done = evaluate.relational(DROPS, facts, wide.select("case_id"))
+    return done.where(F.col("id").startswith("n.")).select("case_id", "id", "trit")
+
+
 @query("SELECT conv_id, bool_or(role = 'user' AND contains(lower(text), 'the')) AS first_gate, bool_or(contains(lower(text), 'the')) AND bool_or(contains(lower(text), 'and')) AS both_gates FROM conversations GROUP BY 1")
 def definition_triggers(spark, sf_dir):
     """DEFN-15, DEFN-16: which texts ask for a definition; the parts of a text are tested one by one, so no text is put together."""

@@ -170,3 +170,46 @@ def test_stream(spark, tmp_path):
     assert [r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [2]
     logs.append_log(spark, str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "cp2"), "ts timestamp, code string, text string", ["code", "text"]).awaitTermination()
     assert spark.read.json(str(tmp_path / "log")).count() == 2
+
+
+def fall(fact, less, op, limit, review):
+    """The verdict of an atom over two facts: values are numbers, None (missing) or a text that is no number."""
+    if review == "needs_review":
+        return 1
+    if fact is None or less is None:
+        return 0
+    if isinstance(fact, str) or isinstance(less, str):
+        return 1
+    d = fact - less
+    return 2 if {">": d > limit, ">=": d >= limit, "<": d < limit, "==": d == limit}[op] else 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_paired_facts(spark, seed):
+    """Both evaluators on atoms over differences: missing, unreadable, infinite and NaN operands."""
+    r = random.Random(seed)
+    pool = [0.0, 1.0, 2.5, -1.0, None, float("nan"), float("inf"), float("-inf")]
+    atoms = [Atom(f"p{k}", f"k{r.randrange(3)}", "atomic_numeric", r.choice([">", ">=", "<", "=="]), r.choice([0.0, 1.0, 1.5]), review=r.choice(["ok", "ok", "ok", "needs_review"]), minus=f"k{r.randrange(3)}") for k in range(6)] + [Atom("flag", "k3")]
+    rules = Rules(atoms, [Composite("any", "OR", ("p0", "p1", "flag")), Composite("all", "AND", ("any", "p2", "p3")), Composite("lost", "OR", ("p4", "nowhere"))], [Node("n", key="q")], [("n", "n")], {"q": "all"})
+    assert rules.keys() == {"k0": "atomic_numeric", "k1": "atomic_numeric", "k2": "atomic_numeric", "k3": "atomic_flag"} or set(rules.keys()) <= {"k0", "k1", "k2", "k3"}
+    cases = {c: [r.choice(pool) for _ in range(3)] + [r.choice([True, None])] for c in range(30)}
+    wide = spark.createDataFrame([(c, *f) for c, f in cases.items()], "case_id long, n_k0 double, n_k1 double, n_k2 double, b_k3 boolean")
+    rows = [(c, f"k{k}", "bool" if k == 3 else "num", v if k == 3 else None, None if k == 3 else v) for c, f in cases.items() for k, v in enumerate(f) if v is not None]
+    odd = [(99, "k0", "str", None, None), (99, "k1", "num", None, 1.0), (99, "k2", "null", None, None)]
+    long = spark.createDataFrame(rows + odd, "case_id long, condition_key string, fact_kind string, b boolean, n double")
+    a = {row["case_id"]: row.asDict() for row in evaluate.compiled(rules, wide).collect()}
+    b = {(row["case_id"], row["id"]): row["trit"] for row in evaluate.relational(rules, long, wide.select("case_id").unionByName(spark.createDataFrame([(99,)], "case_id long"))).collect()}
+    values = lambda f, x: f[int(x[1])]
+    for c, f in [*cases.items(), (99, ["text", 1.0, None, None])]:
+        t = {x.id: fall(values(f, x.key), values(f, x.minus), x.operator, x.value, x.review) for x in atoms[:6]} | {"flag": 2 if f[3] else 0}
+        t["any"] = max(t["p0"], t["p1"], t["flag"])
+        t["all"] = t["n"] = min(t["any"], t["p2"], t["p3"])
+        t["lost"] = max(t["p4"], 1)
+        assert all(b[c, i] == v and (c == 99 or a[c][f"t_{i}"] == v) for i, v in t.items()), (c, f)
+
+
+def test_deep_rules():
+    """A chain of 3,000 composites has heights without recursion."""
+    n = 3000
+    rules = Rules([Atom("a", "k")], [Composite(f"c{k}", "OR", (f"c{k - 1}" if k else "a",)) for k in range(n)], [], [])
+    assert rules.height()[f"c{n - 1}"] == n

@@ -5,6 +5,8 @@ the longer prefix (the one before on a tie). The lines (blocks) of both are alig
 subsequence, and shared lines are deleted as template. Lines inside a page's article are
 content whatever its neighbour has, so a copy of an article isn't deleted for being shared; lines
 of menus, notices and the like are never content, so a menu that differs from page to page goes too.
+In an article a block whose class or id only holds such a word (`review-body`, `related-work`) is left to
+the alignment; one that is named so as a whole (`comments`, `share-buttons`) is never content.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ _BLOCK = set("address article aside blockquote body br button caption center dd
 _DROP = set("nav header footer aside form button dialog menu head fieldset label input search".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _NAMES = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|nav\w*|menu|breadcrumbs?|sidebar|side|widget|footer|header|masthead|toolbar|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|respond|reviews?)(?=$|[\s_-])")
+#: A class or id that is such a name as a whole, or with a word for a part of a page: of these blocks nothing is content in an article either.
+_PART_NAME = re.compile(r"(?i)(?:^|\s)(?:(?:post|entry|article|site|page|user|reader|main)[_-])?(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|nav|navbar|navigation|menu|breadcrumbs?|sidebar|widgets?|toolbar|shar(?:e|ing)|social|related|recommend(?:ed|ations)|comments?|commentlist|disqus(?:_thread)?|replies|respond|footer)(?:[_-](?:ads?|area|bar|box|block|buttons?|container|content|form|icons?|items?|links?|lists?|menu|notice|panel|posts?|section|slot|thread|top|bottom|left|right|unit|widget|wrapper|\d+))*(?=$|\s)")
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 _ATTR = re.compile(r"""([\w:-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""")
 #: Elements whose names say nothing of what is inside them; in an article headings and words within a paragraph neither.
@@ -106,10 +110,10 @@ def lines_of(page: str) -> tuple[list[str], np.ndarray]:
             label = f"{attributes.get('class', '')} {attributes.get('id', '')}"
             if name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article"):
                 inside = 1
-            elif name in _DROP or attributes.get("role", "").lower() in _ROLES or (name not in (_WORDS if kind else _ROOTS) and label.strip() and _NAMES.search(label)) or re.search(r"(?:^|\s)hidden(?=$|[\s/=])(?!\s*=\s*[\"']?until)", own) or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
+            elif name in _DROP and not (kind == 1 and name == "header") or attributes.get("role", "").lower() in _ROLES or (name not in (_WORDS if kind else _ROOTS) and label.strip() and (_PART_NAME if kind else _NAMES).search(label)) or re.search(r"(?:^|\s)hidden(?=$|[\s/=])(?!\s*=\s*[\"']?until)", own) or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
                 inside = -1
-            if kind == 1 and name == "header" and not label.strip():
-                inside = 1  # the heading of the article itself
+            elif kind == 1 and name not in _WORDS and label.strip() and _NAMES.search(label):
+                inside = 0  # the name may say what it is about: the neighbour tells
         if name in _BLOCK or inside != kind:
             flush()
         if name == "p" and open_names["p"]:  # a paragraph ends the one before
@@ -265,8 +269,8 @@ def extract(pages: DataFrame, sample: int = 20_000) -> DataFrame:
     # a range without rows passes its neighbours' edges on; there is none here, as every bound is a row's key
     halo = edges.select((F.col("part") - 1).alias("part"), "first.*").unionByName(edges.select((F.col("part") + 1).alias("part"), "last.*")).withColumn("halo", F.lit(True))
     both = rows.withColumn("halo", F.lit(False)).unionByName(halo)
-    # a hash deals whole ranges out; each is bounded by its share of the keys
-    dealt = both.repartition(len(cuts) + 1, "part").sortWithinPartitions("part", "key")
+    # a range is a task of its own, bounded by its share of the keys
+    dealt = both.where(F.col("part").between(0, len(cuts))).repartitionById(len(cuts) + 1, F.col("part").cast("int")).sortWithinPartitions("part", "key")
     return dealt.select("part", "host", "path", "page_id", "url", "html", "halo").mapInArrow(_difference, SCHEMA)
 
 

@@ -7,7 +7,7 @@ of its gaps that hold them. What a range has no gap for goes to the next ranges'
 has touched: tasks only report how many of both they have left, the counts are matched from the
 shortest range up, and pieces and gaps meet by their rank among what their range left, so no gap
 gets two pieces. Gaps are then updated, and the next round follows. Once nothing fits, more gaps
-are opened. The driver holds a row for each range, never pieces or gaps.
+are opened. Few rows are one range, swept like any other. The driver holds a row for each range, never pieces or gaps.
 """
 
 from __future__ import annotations
@@ -260,27 +260,6 @@ def _sweep(capacity: int):
     return sweep
 
 
-def _finish(capacity: int, opened: int):
-    """(id, sequence_id, offset) of the last pieces, in one task: into the gaps given, and then into new ones from `opened` on."""
-
-    def finish(table: pa.Table) -> pa.Table:
-        gap, ids, size = (table.column(x).to_numpy() for x in ("gap", "id", "size"))
-        order = np.argsort(-size[~gap], kind="stable")
-        docs, lengths, names, room, new, out = ids[~gap][order], size[~gap][order], ids[gap], size[gap], opened, []
-        while len(docs):
-            order = np.argsort(room, kind="stable")
-            names, room = names[order], room[order]
-            doc, to, then = _assign(lengths, room).T
-            out.append((docs[doc], names[to], capacity - then))
-            np.subtract.at(room, to, lengths[doc])
-            docs, lengths, names, room = np.delete(docs, doc), np.delete(lengths, doc), names[room > 0], room[room > 0]
-            more = -(-int(lengths.sum()) // capacity)
-            names, room, new = np.concatenate((names, np.arange(new, new + more))), np.concatenate((room, np.full(more, capacity))), new + more
-        return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], ["id", "sequence_id", "offset"])
-
-    return finish
-
-
 def _meet(ranges: list[tuple[int, int, int, int, int]]) -> tuple[list[tuple[bool, int, int, int, int, int]], int]:
     """What meets, from ranges (part, pieces left, gaps untouched, longest such piece, least such gap), shortest first.
 
@@ -304,30 +283,31 @@ def _meet(ranges: list[tuple[int, int, int, int, int]]) -> tuple[list[tuple[bool
     return runs, met
 
 
-def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int, most: int = 500_000, last: int = 10_000) -> DataFrame:
+def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int, most: int = 500_000) -> DataFrame:
     """(id, sequence_id, offset) for each piece (id, length) of a saved table, none longer than the capacity; ids are distinct.
 
-    Ranges hold about `most` pieces and gaps, which bounds what a task holds; there are as many of them as the rows need.
-    Once at most `last` pieces are left, one task takes them with as many of the largest gaps. A piece that none of those
-    holds has no gap at all, as at least one of them is untouched and no other gap is larger."""
+    Ranges hold about `most` pieces and gaps, which bounds what a task holds; there are as many of them as the rows need,
+    so a small table, and what is left in late rounds, is one range of the same sweep."""
     spark = scratch.spark
     state = pieces.select(F.lit(False).alias("gap"), "id", F.col("length").alias("size"))
     missing, left = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
     opened, gaps, placed, stuck = 0, 0, [], True
-    while left > last:
+    while left:
         if stuck:
             more = -(-missing // capacity)
             state = state.unionByName(spark.range(opened, opened + more).select(F.lit(True).alias("gap"), "id", F.lit(capacity).cast("long").alias("size")))
             opened, gaps = opened + more, gaps + more
         order = ["size", "gap", "id"]
-        swept = scratch.save(state.repartitionByRange(-(-(left + gaps) // most), *order).sortWithinPartitions(*order).mapInArrow(_sweep(capacity), _STATE + ", sequence_id long, offset long, part long, nth long"))
+        count = -(-(left + gaps) // most)
+        dealt = state.repartitionByRange(count, *order) if count > 1 else state.repartition(1)
+        swept = scratch.save(dealt.sortWithinPartitions(*order).mapInArrow(_sweep(capacity), _STATE + ", sequence_id long, offset long, part long, nth long"))
         waits, free = (F.col("nth") >= 0) & ~F.col("gap"), (F.col("nth") >= 0) & F.col("gap")
         size = lambda which: F.when(which, F.col("size"))
         sums = [F.count_if(waits).alias("left"), F.count_if(free).alias("free"), F.max(size(waits)).alias("longest"), F.min(size(free)).alias("least"), F.count_if(F.col("gap") & (F.col("size") > 0)).alias("gaps"), F.count_if(F.col("sequence_id") >= 0).alias("put"), F.coalesce(F.sum(size(waits)), F.lit(0)).alias("tokens")]
         ranges = sorted(swept.groupBy("part").agg(*sums).collect())  # a row for each range
         runs, met = _meet([(r["part"], r["left"], r["free"], r["longest"], r["least"]) for r in ranges])
         left, gaps, missing = sum(r["left"] for r in ranges) - met, sum(r["gaps"] for r in ranges), sum(r["tokens"] for r in ranges)
-        stuck = not runs and not any(r["put"] for r in ranges)
+        stuck = not runs and (count == 1 or not any(r["put"] for r in ranges))  # what one range leaves fits none of its gaps
         placed.append(swept.where("sequence_id >= 0").select("id", "sequence_id", "offset"))
         rest = swept.where("sequence_id < 0 AND size > 0")
         state = rest.select("gap", "id", "size")
@@ -340,11 +320,6 @@ def best_fit(scratch: Scratch, pieces: DataFrame, capacity: int, most: int = 500
             found = scratch.save(linked.where("NOT gap").join(rooms, "link").withColumn("filled", F.sum("size").over(own)).withColumn("end", F.lead("id").over(Window.partitionBy("link").orderBy(F.desc("size"), "id")).isNull()))
             placed.append(found.select("id", "sequence_id", (capacity - F.col("room") + F.col("filled") - F.col("size")).alias("offset")))
             state = linked.where("link IS NULL").select("gap", "id", "size").unionByName(found.where("end AND room > filled").select(F.lit(True).alias("gap"), F.col("sequence_id").alias("id"), (F.col("room") - F.col("filled")).alias("size")))
-    if left:
-        ends = state.where("NOT gap")
-        if gaps:
-            ends = ends.unionByName(state.where("gap").orderBy(F.desc("size"), "id").limit(left))
-        placed.append(scratch.save(ends.groupBy().applyInArrow(_finish(capacity, opened), "id long, sequence_id long, offset long")))
     out = placed[0] if placed else pieces.select("id", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     for x in placed[1:]:
         out = out.unionByName(x)

@@ -210,7 +210,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 32, ro
             found = scratch.save(components(scratch, links))
     out = member.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
     component = F.coalesce("component", "class_id")
-    return out.select("doc_id", "class_id", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    out = scratch.save(out.select("doc_id", "class_id", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")))
+    scratch.keep(out)
+    return out
 
 
 def recall(bands: int, rows: int, similarity: float) -> float:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import matching
-from ..operators import triggers
+from ..operators import passes, triggers
 from ..sources.io import table
 from .catalog import query
 
@@ -111,3 +111,30 @@ def popup_titles(spark, sf_dir):
     """PARSE-31: titles of all documents taken as popups of three types."""
     kind = F.get(F.array(F.lit("definition"), F.lit("citation"), F.lit("other_popup")), (F.col("doc_id") % 3).cast("int"))
     return table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", triggers.popup_title(F.col("text"), kind).alias("title"))
+
+
+_CLICKED = "[[], ['click'], ['timeout'], ['timeout', 'error', 'click'], ['error'], ['click', 'timeout'], ['click', 'click'], ['left'], ['click', 'cleared']]"
+_KIND = "CASE WHEN l_partkey % 16 < 14 THEN l_partkey % 16 % 7 ELSE l_partkey % 16 - 7 END"
+
+
+@query(
+    f"""WITH RECURSIVE made AS (SELECT l_orderkey AS key, l_linenumber AS pass, l_shipdate AS ts, l_quantity::BIGINT % 2 AS t, (l_discount = 0)::BIGINT AS invoked, l_suppkey AS remaining, {_KIND} AS kind FROM lineitem WHERE l_linenumber <= 6),
+    one AS (SELECT * FROM made QUALIFY row_number() OVER (PARTITION BY key, pass ORDER BY ts, t, invoked, remaining, {_CLICKED}[kind + 1]) = 1),
+    p AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY pass) AS k FROM one),
+    walk AS (SELECT DISTINCT key, 0::BIGINT AS k, 0 AS pass, 0::BIGINT AS streak, 0::BIGINT AS clicks, 0::BIGINT AS same, -1::BIGINT AS t, 0::BIGINT AS remaining, NULL::VARCHAR AS outcome FROM p
+      UNION ALL SELECT key, k, pass, streak, clicks + n + invoked, same, t, remaining, CASE WHEN kind = 7 THEN 'aborted_unexpected_navigation' WHEN streak >= 2 THEN 'aborted_consecutive_timeouts' WHEN kind = 8 THEN 'ok'
+          WHEN same >= 2 THEN 'stopped_stable_body' WHEN pass >= 6 THEN 'stopped_max_passes' WHEN n = 0 AND invoked = 0 AND t < 1 THEN 'stopped_no_progress' END
+        FROM (SELECT key, k, pass, clicks, invoked, kind, t, remaining, same, streak, CASE WHEN kind IN (1, 5, 7) OR (kind = 3 AND streak < 2) THEN 1 WHEN kind IN (6, 8) THEN 2 ELSE 0 END AS n
+          FROM (SELECT p.key, p.k, p.pass, w.clicks, p.invoked, p.kind, p.t, p.remaining, CASE WHEN p.t = w.t THEN w.same + 1 ELSE 0 END AS same,
+              CASE WHEN p.kind IN (1, 6, 7, 8) THEN 0 WHEN p.kind = 5 THEN 1 WHEN p.kind = 2 THEN c + 1 WHEN p.kind = 3 THEN CASE WHEN c + 1 >= 2 THEN c + 1 ELSE 0 END ELSE c END AS streak
+            FROM (SELECT w.*, CASE WHEN p.invoked > 0 THEN 0 ELSE w.streak END AS c FROM walk w JOIN p ON p.key = w.key AND p.k = w.k + 1 WHERE w.outcome IS NULL) w JOIN p ON p.key = w.key AND p.k = w.k + 1)))
+    SELECT key, pass AS passes, clicks, coalesce(outcome, 'unfinished') AS outcome, t AS text, 0::BIGINT AS html, remaining FROM walk WHERE k > 0 QUALIFY row_number() OVER (PARTITION BY key ORDER BY k DESC) = 1"""
+)
+def pass_outcomes(spark, sf_dir):
+    """ITER-1: every order's lines as passes, whose parts decide what the clicks did, and where and why they come to rest."""
+    kinds = F.array(*[F.array(*map(F.lit, x)).cast("array<string>") for x in ([], ["click"], ["timeout"], ["timeout", "error", "click"], ["error"], ["click", "timeout"], ["click", "click"], ["left"], ["click", "cleared"])])
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("pass"), F.col("l_shipdate").alias("ts"), F.lit(0).alias("text_before"), F.lit(0).alias("html_before"), (F.col("l_quantity").cast("long") % 2).alias("text_after"), F.lit(0).alias("html_after"),
+        (F.col("l_discount") == 0).cast("long").alias("invoked"), F.col("l_suppkey").alias("remaining"), F.get(kinds, F.expr(_KIND).cast("int")).alias("events"),
+    )
+    return passes.outcomes(rows, passes.Limits(passes=6))

@@ -16,7 +16,7 @@ NAMES = [n for n, f in catalog.QUERIES.items() if f.__module__ == parts.__name__
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, name):
     duck = duckdb.connect()
-    for x in "documents pages".split():
+    for x in "documents pages lineitem".split():
         duck.execute(f"CREATE VIEW {x} AS SELECT * FROM '{DATA}/{x}.parquet'")
     got = catalog.QUERIES[name](spark, DATA)
     want = duck.execute(catalog.SQL[name])

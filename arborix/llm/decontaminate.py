@@ -45,6 +45,29 @@ def _seeds(rows: DataFrame, keep: list[str], place: str, short: list[int], whole
     return out.where(F.col("seed").isNotNull()) if short else out
 
 
+def _longest_run(same: Column) -> Column:
+    """(n, a): of the runs of agreeing words in which at least half of the words agree that of most words, the first on a tie.
+
+    With h(i) = 2 i - same[i] the words a to b are such a run if h(b) - h(a) + 1 >= 0. The least h up to a place and the greatest
+    from a place on are monotone, so two places that only move forward meet the longest run, in steps that grow with the words."""
+    h = F.transform(same, lambda x, i: 2 * i - x)
+    empty = F.array().cast("array<int>")
+    kept = lambda pick: lambda out, x: F.concat(out, F.array(pick(x, F.coalesce(F.get(out, F.size(out) - 1), x))))
+    low = F.aggregate(h, empty, kept(F.least))
+    high = F.reverse(F.aggregate(F.reverse(h), empty, kept(F.greatest)))
+    whole = lambda x: F.lit(x).cast("int")
+
+    def step(s, _):
+        i, j = s["i"], s["j"]
+        holds = F.get(s["high"], j) >= F.get(s["low"], i) - 1
+        longer = holds & (j + 1 - i > s["n"])
+        moved = F.struct((i + F.when(holds, 0).otherwise(1)).alias("i"), (j + F.when(holds, 1).otherwise(0)).alias("j"), F.when(longer, j + 1 - i).otherwise(s["n"]).alias("n"), F.when(longer, i).otherwise(s["a"]).alias("a"), s["low"].alias("low"), s["high"].alias("high"))
+        return F.when(j < F.size(s["high"]), moved).otherwise(s)
+
+    start = F.struct(whole(0).alias("i"), whole(0).alias("j"), whole(0).alias("n"), whole(0).alias("a"), low.alias("low"), high.alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), 2 * F.size(same)), start, step, lambda s: F.struct(s["n"].alias("n"), s["a"].alias("a")))
+
+
 def find(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, item_id, n_match, n_span, n_item, first_word) for each contaminated document and item, the best diagonal.
 
@@ -74,11 +97,9 @@ def find(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST
     same = F.filter(F.sequence(F.lit(0), F.least(F.size("part"), F.size("words") - shift) - 1), lambda i: F.get("part", i) == F.get("words", i + shift))
     need = F.least(F.col("n_item"), F.lit(13), F.greatest(F.lit(8), F.ceil(F.col("n_item") / 2)))
     both = both.select(*hit, F.size("words").alias("n_item"), same.alias("same")).where(F.size("same") >= need)
-    # of the runs of agreeing words in which at least half of the words agree that of most, the first on a tie
-    last, at = F.size("same") - 1, F.col("same")
-    ends = lambda a: F.array_max(F.transform(F.sequence(a, last), lambda b: F.when((b - a + 1) * 2 >= at[b] - at[a] + 1, F.struct((b - a + 1).alias("n"), (-a).alias("a")))))
-    run = both.select("doc_id", "item_id", "diagonal", "n_item", "same", F.array_max(F.transform(F.sequence(F.lit(0), last), ends)).alias("run"))
-    first, end = at[-F.col("run.a")], at[F.col("run.n") - F.col("run.a") - 1]
+    at = F.col("same")
+    run = both.select("doc_id", "item_id", "diagonal", "n_item", "same", _longest_run(at).alias("run"))
+    first, end = at[F.col("run.a")], at[F.col("run.a") + F.col("run.n") - 1]
     good = run.where(F.col("run.n") >= need).select(
         "doc_id", "item_id", "n_item", F.col("run.n").cast("int").alias("n_match"), (end - first + 1).cast("int").alias("n_span"),
         (F.greatest(F.col("diagonal"), F.lit(0)) + first).cast("int").alias("first_word"),

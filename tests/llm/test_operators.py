@@ -258,6 +258,18 @@ def test_automaton():
             assert first + n == len(q) or not any(inside(q[first : first + n + 1], s) for s in seqs)
 
 
+def test_longest_run(spark):
+    """The run that two moving places find is the one that all pairs of places give."""
+    r = random.Random(31)
+    rows = [(k, sorted(r.sample(range(n * gap), n))) for k, (n, gap) in enumerate([(1, 1), (2, 9), *((r.randint(1, 40), r.choice([1, 2, 3, 5])) for _ in range(300))])]
+    rows.append((len(rows), [*range(0, 900, 3), *range(900, 1500), *range(1500, 3000, 4)]))
+    got = spark.createDataFrame(rows, "k int, same array<int>").select("k", decontaminate._longest_run(F.col("same")).alias("r")).select("k", "r.*").collect()
+    for k, n, a in got:
+        at = rows[k][1]
+        want = max((y - x + 1, -x) for x in range(len(at)) for y in range(x, len(at)) if (y - x + 1) * 2 >= at[y] - at[x] + 1)
+        assert (n, -a) == want, at
+
+
 # ---- 5 ----------------------------------------------------------------------------------------------------------
 
 

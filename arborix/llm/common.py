@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -152,16 +151,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> np.ndarray:
-    return powers(base, n)
-
-
-def powers_to(base: int, n: int) -> np.ndarray:
-    """The first n powers, from a kept table whose size is a power of two."""
-    return _powers(base, 1 << max(12, n.bit_length()))[:n]
-
-
 def powers(base: int, n: int) -> np.ndarray:
     out = np.empty(n + 1, np.uint64)
     out[0] = 1

@@ -14,8 +14,8 @@ refined to k + 7 bytes by seven steps through their LF maps, and only blocks (in
 share k bytes) whose new bytes differ are put in order anew; all other suffixes keep the place that
 their shard's sort gave them. A suffix alone in its block is dropped, and what stays after 200 bytes is
 exactly the repeated windows: intervals of a common prefix of 200 bytes or more. An anchor with more chunks than a bucket holds is refined over the
-cluster instead: the blocks of its windows by 200 bytes, named by two 64-bit hashes, are counted,
-so that no group has to fit one task. Chunks and blocks are told apart by 96 and 128 bits.
+cluster instead: the blocks of its windows by 200 bytes, named by their digests, are counted,
+so that no group has to fit one task. Chunks and blocks are told apart by 96 and 128 bits of a BLAKE2 digest.
 """
 
 from __future__ import annotations
@@ -28,12 +28,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BASE, Scratch, mix, n_parts, portions, powers_to, slices, trim
+from .common import Scratch, mix, n_parts, portions, slices, trim
 
 GRAM, HEAD, SLICE, LONG = 64, 7, 400_000, 1024
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-#: Bases of the two hashes that tell chunks and windows apart.
-_BASES = (_BASE, 0xC2B2AE3D27D4EB4F)
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
@@ -54,12 +52,12 @@ def sliding_min(h: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (window - width)], h[window - width :])
 
 
-def prefix_hash(raw: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """up and down such that (up[e] - up[s]) * down[s] is a hash of raw[s:e]."""
-    up = np.zeros(len(raw) + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumsum(_BYTE[raw] * powers_to(base, len(raw)), dtype=np.uint64, out=up[1:])
-    return up, powers_to(pow(base, -1, 1 << 64), len(raw) + 1)
+def digests(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit halves of the BLAKE2 digest of each raw[first:last], so that no two texts made to collide are taken as one."""
+    held = memoryview(np.ascontiguousarray(raw))
+    found = b"".join([hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+    halves = np.frombuffer(found, np.uint64).reshape(-1, 2)
+    return np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
 
 
 def chunks(raw: np.ndarray, ends: np.ndarray, depth: int, digest: bool = True):
@@ -89,12 +87,7 @@ def chunks(raw: np.ndarray, ends: np.ndarray, depth: int, digest: bool = True):
     begin = np.concatenate(([0], ends))[doc]
     keys = (np.empty(0, np.uint64),) * 2
     if digest:
-        last, found = first + count + depth - 1, []
-        with np.errstate(over="ignore"):
-            for base in _BASES:
-                up, down = prefix_hash(raw, base)
-                found.append(mix((up[last] - up[first]) * down[first] + count.astype(np.uint64)))
-        keys = tuple(found)
+        keys = digests(raw, first, first + count + depth - 1)
     anchor = low[first]
     # a gram is an anchor where some window that holds it has no smaller one; those windows lie in one chunk
     most = ~sliding_min(~np.where(valid, low, 0), width) if n >= width else np.zeros(0, np.uint64)
@@ -326,18 +319,16 @@ def _settle(depth: int):
 
 
 def _windows(depth: int):
-    """Two hashes of every window of chunks, for anchors with more chunks than a bucket holds."""
+    """The digest of every window of chunks, for anchors with more chunks than a bucket holds."""
     names = ["k", "th", "lo", "once", "w", "w2"]
 
     def work(batches):
         for batch in portions(batches):
             for k, th, start, once, raw in zip(*(batch.column(c).to_pylist() for c in ("k", "th", "start", "once", "bytes")), strict=True):
                 raw = np.frombuffer(raw, np.uint8)
-                n, found = len(raw) - depth + 1, []
-                with np.errstate(over="ignore"):
-                    for base in _BASES:
-                        up, down = prefix_hash(raw, base)
-                        found.append(pa.array(mix((up[depth:] - up[:-depth]) * down[:n]).view(np.int64)))
+                n = len(raw) - depth + 1
+                at = np.arange(n)
+                found = [pa.array(x.view(np.int64)) for x in digests(raw, at, at + depth)]
                 yield pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int64()), pa.array([th] * n, pa.int32()), pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array([once] * n), *found], names)
 
     return work

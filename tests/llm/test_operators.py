@@ -299,6 +299,21 @@ def test_suffix_dedup(spark, hot):
     assert suffix_dedup.dedup(docs_of(spark, [])).count() == 0
 
 
+def test_suffix_dedup_made_to_collide(spark):
+    """A word whose letters follow the parity of their place's bits, and its complement, are equal under every polynomial modulo 2^64."""
+    word = np.array([bin(k).count("1") % 2 for k in range(1024)], np.uint8)
+    tail = np.frombuffer(prose(random.Random(6), 80).encode()[:199].replace(b"\xc3", b"x"), np.uint8)
+    a, b = (np.concatenate((97 + (word ^ flip), tail)) for flip in (0, 1))
+    one, two = (suffix_dedup.digests(x, np.array([0]), np.array([len(x)])) for x in (a, b))
+    assert one[0] != two[0] and one[1] != two[1]
+    texts = [x.tobytes().decode("latin-1") for x in (a, b)]
+    texts += [texts[0][:700] + "!" + texts[1][:700], prose(random.Random(7), 60)]
+    for hot in (1000, 1):
+        got = all_rows(suffix_dedup.dedup(docs_of(spark, texts), hot=hot))
+        for k, want in enumerate(brute_dedup([t.encode() for t in texts])):
+            assert (got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"], got[k]["kept_sha256"]) == want, k
+
+
 def test_suffix_dedup_odd_rows(spark):
     """Null and repeated ids, texts longer than a slice, runs of one letter, and extra columns of any name."""
     r = random.Random(15)

@@ -11,6 +11,9 @@ Centers stand at least twice the threshold's angle apart, so a dense group of ne
 center, however many of its vectors were sampled, and all its members are dealt to it. A shard that
 grows large that way has no graph: all its pairs are compared exactly, block by block, and come out
 as counts and components, since a dense group has too many links to list.
+
+The first level's centers are few, as they are broadcast. A shard that is crowded for want of centers is dealt
+anew to centers of its own, level by level; only one that is dense in itself stays large.
 """
 
 from __future__ import annotations
@@ -153,15 +156,18 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(ids), pa.array(lists, pa.list_(pa.int64()))], names=["id", "near"])
 
 
+def spread_places(x: np.ndarray, most_cosine: float) -> list[int]:
+    """Places of those of unit vectors x that are no nearer than most_cosine to one kept before them."""
+    held, places = np.empty_like(x), []
+    for i, v in enumerate(x):
+        if not places or (held[: len(places)] @ v).max() < most_cosine:
+            held[len(places)] = v
+            places.append(i)
+    return places
+
+
 def spread(x: np.ndarray, most_cosine: float) -> np.ndarray:
-    """Those of unit vectors x that are no nearer than most_cosine to one kept before them."""
-    kept = np.empty_like(x)
-    n = 0
-    for v in x:
-        if not n or (kept[:n] @ v).max() < most_cosine:
-            kept[n] = v
-            n += 1
-    return kept[:n]
+    return x[spread_places(x, most_cosine)]
 
 
 def _lists(column, pad: int) -> np.ndarray:
@@ -247,14 +253,86 @@ def _search(threshold: float):
 
 def valid(rows: DataFrame) -> DataFrame:
     """Rows whose vector can link: label and vector not null, all components finite, not all zero."""
+    return rows.where(_can_link())
+
+
+def _can_link():
     v = F.col("embedding")
-    return rows.where(F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).where(F.exists(v, lambda x: x != 0))
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def _nearest(vectors, centers: np.ndarray, overlap: int, step: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centers of each vector, best first, and their cosines."""
+    sims, tops = [], []
+    for i in range(0, len(vectors), step):
+        s = vectors[i : i + step] @ centers.T
+        top = np.argsort(-s, axis=1, kind="stable")[:, :overlap]
+        tops.append(top)
+        sims.append(np.take_along_axis(s, top, axis=1))
+    return np.concatenate(tops), np.concatenate(sims)
+
+
+def _fine(overlap: int):
+    def work(table: pa.Table, centers: pa.Table) -> pa.Table:
+        if not len(table) or not len(centers):
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["id", "center", "sim"])
+        of = np.asarray(centers.column("center"))
+        top, sims = _nearest(_matrix(table.column("v")), _matrix(centers.column("v")), overlap)
+        return pa.table([pa.array(np.repeat(np.asarray(table.column("id")), top.shape[1])), pa.array(of[top.ravel()]), pa.array(sims.ravel())], names=["id", "center", "sim"])
+
+    return work
 
 
-def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, overlap: int, most_centers: int, block: int = 4096) -> tuple[DataFrame, DataFrame]:
+def _spread(most_cosine: float):
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        x = _matrix(table.column("v"))
+        kept = spread_places(x, most_cosine)
+        return table.take(pa.array(kept)).select(["label", "d", "shard", "id", "v"]).rename_columns(["label", "d", "shard", "center", "v"])
+
+    return work
+
+
+def refine(scratch: Scratch, classes: DataFrame, dealt: DataFrame, threshold: float, shard: int, overlap: int, most_centers: int, levels: int, part: int = 16_384) -> DataFrame:
+    """dealt (id, label, v, d, shard, sim, home), with crowded shards dealt anew to centers of their own.
+
+    A crowded shard's centers are spread over a sample, in proportion to its size, of the vectors at home there, so that no
+    vector is a center of two shards; its vectors meet them in parts of about so many rows. Of the centers of all its
+    shards a vector goes to the nearest. A shard without two centers is dense and stays as it is; so does what is
+    crowded after the last level. Nothing of this passes through the driver."""
+    key = ["label", "d", "shard"]
+    kind = dealt.schema["v"].dataType.simpleString()
+    for _ in range(levels):
+        crowded = scratch.save(dealt.groupBy(*key).agg(F.count("*").alias("m"), F.count_if("home").alias("own")).where(F.col("m") > 4 * shard))
+        if crowded.isEmpty():
+            break
+        wanted = F.least(F.lit(most_centers), F.col("m") / shard + 16) / F.greatest("own", F.lit(1))
+        taken = dealt.where("home").join(crowded, key).where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < F.ceil(wanted * 1_000_000)).select(*key, "id", "v")
+        centers = scratch.save(taken.groupBy(*key).applyInArrow(_spread(2 * threshold**2 - 1), f"label long, d int, shard long, center long, v {kind}"))
+        several = centers.groupBy(*key).agg(F.count("*").alias("c")).where("c > 1")
+        split = scratch.save(crowded.join(several, key).select(*key, F.ceil(F.col("m") / part).alias("parts")))
+        if split.isEmpty():
+            break
+        left = dealt.join(split, key).withColumn("part", F.pmod(F.xxhash64("id"), "parts")).select(*key, "part", "id", "v")
+        right = centers.join(split, key).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(*key, "part", "center", "v")
+        met = left.groupBy(*key, "part").cogroup(right.groupBy(*key, "part")).applyInArrow(_fine(overlap), "id long, center long, sim double")
+        # a center's number among the shards: no less than 0 and far from the first level's
+        fine = met.select("id", F.shiftrightunsigned(F.xxhash64("center", F.lit(11)), 1).alias("shard"), "sim")
+        spots = fine.unionByName(dealt.join(split, key, "left_anti").select("id", "shard", "sim"))
+        best = F.slice(F.sort_array(F.collect_set(F.struct("sim", "shard")), asc=False), 1, overlap)  # of overlap * overlap at most
+        chosen = spots.groupBy("id").agg(best.alias("best")).select("id", F.posexplode("best").alias("k", "s"))
+        placed = chosen.select("id", F.col("s.shard").alias("shard"), F.col("s.sim").alias("sim"), (F.col("k") == 0).alias("home"))
+        again = placed.join(classes.select("id", "label", "v"), "id").select("id", "label", "v", F.size("v").alias("d"), "shard", "sim", "home")
+        dealt = scratch.save(again)
+    return dealt
+
+
+def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, overlap: int, most_centers: int, block: int = 4096, levels: int = 3) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a, b) of classes (label, v, id, n) found with a cosine of the threshold or more, and the links of
     large shards' pairs, not among those, as (id, others, root): members n linked to id, and an id that links reach."""
     spark = classes.sparkSession
+    kind = classes.schema["v"].dataType.simpleString()
     counts = {(r["label"], r["d"]): r["n"] for r in classes.groupBy("label", F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}  # a row for each label
     total = sum(counts.values())
     share = min(1.0, (total / shard + 4 * len(counts)) / max(1, total), most_centers / max(1, total))
@@ -270,26 +348,30 @@ def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, ov
             groups: dict[tuple, list[int]] = {}
             for i, (name, v) in enumerate(zip(label, vectors, strict=True)):
                 groups.setdefault((name, len(v)), []).append(i)
-            row, to = [], []
+            row, to, near, home = [], [], [], []
             for key, own in groups.items():
                 c = held.value.get(key)
                 if c is None:
                     row += own
                     to += [0] * len(own)
+                    near += [0.0] * len(own)
+                    home += [True] * len(own)
                     continue
-                sims = _unit(np.array([vectors[i] for i in own], float)) @ c.T
-                top = np.argsort(-sims, axis=1, kind="stable")[:, :overlap]
+                top, sims = _nearest(_unit(np.array([vectors[i] for i in own], float)), c, overlap)
                 row += np.repeat(own, top.shape[1]).tolist()
                 to += top.ravel().tolist()
+                near += sims.ravel().tolist()
+                home += ([True] + [False] * (top.shape[1] - 1)) * len(own)
             take = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([take.column("id"), take.column("label"), take.column("v"), pa.array([len(vectors[i]) for i in row], pa.int32()), pa.array(to, pa.int32())], ["id", "label", "v", "d", "shard"])
+            yield pa.RecordBatch.from_arrays([take.column("id"), take.column("label"), take.column("v"), pa.array([len(vectors[i]) for i in row], pa.int32()), pa.array(to, pa.int64()), pa.array(near, pa.float64()), pa.array(home, pa.bool_())], ["id", "label", "v", "d", "shard", "sim", "home"])
 
-    dealt = scratch.save(classes.select("id", "label", F.col("v").cast("array<double>").alias("v")).mapInArrow(deal, "id long, label long, v array<double>, d int, shard int"))
+    dealt = scratch.save(classes.select("id", "label", "v").mapInArrow(deal, f"id long, label long, v {kind}, d int, shard long, sim double, home boolean"))
+    dealt = refine(scratch, classes, dealt, threshold, shard, overlap, most_centers, levels).drop("sim", "home")
     key = ["label", "d", "shard"]
     crowded = scratch.save(dealt.groupBy(*key).agg(F.count("*").alias("m")).where(F.col("m") > 4 * shard).select(*key, F.ceil(F.col("m") / block).alias("blocks")))
     some = dealt.join(crowded, key)
     large = scratch.save(some.groupBy("id").agg(F.collect_set("shard").alias("large")))  # at most overlap each
-    own = some.join(large, "id").join(classes.select("id", "n"), "id").select("id", *key, F.col("v").cast("array<float>").alias("v"), "n", "large", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
+    own = some.join(large, "id").join(classes.select("id", "n"), "id").select("id", *key, "v", "n", "large", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
     counted = scratch.save(own.drop("other", "blocks").groupBy(*key, "lo", "hi").applyInArrow(_blocks(threshold), "id long, others long, root long"))
     usual = dealt.join(crowded, key, "left_anti")
@@ -300,26 +382,33 @@ def links(scratch: Scratch, classes: DataFrame, threshold: float, shard: int, ov
 
 
 def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard: int = 700, overlap: int = 4, most_centers: int = 4096) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every vec_id of rows (vec_id, embedding, label).
+    """(vec_id, n_links, component_id, kept) of every row of rows (vec_id, embedding, label).
 
-    Equal vectors of a label are one class while searching. Null labels and vectors that are null, empty, zero or
-    hold null or non-finite components link with nothing. Rows that repeat a vec_id count as one (the smallest
-    label and vector). An empty table gives no row; further columns are ignored."""
+    Every row is a vector of its own, also where vec_ids repeat or are null: rows have keys of their own. component_id is
+    the smallest vec_id of a component's rows, null where none of them has one; kept is whether it is the row's own, nulls
+    being equal. Equal vectors of a label are one class while searching. Null labels and vectors that are null, empty,
+    zero or hold null or non-finite components link with nothing. Vectors of other numbers than floats are read in
+    double precision, as all cosines are. An empty table gives no row; further columns are ignored."""
     scratch = Scratch(rows.sparkSession, "vectors")
-    rows = rows.select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
-    own = scratch.save(rows.groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("r")).select("vec_id", "r.*"))
-    good = valid(own)
-    classes = scratch.save(good.groupBy("label", F.col("embedding").alias("v")).agg(F.min("vec_id").alias("id"), F.count("*").alias("n")))
-    member = good.join(classes, (good["label"] == classes["label"]) & (good["embedding"] == classes["v"])).select("vec_id", "id", "n")
+    element = rows.schema["embedding"].dataType.elementType.simpleString()
+    vector = F.col("embedding") if element == "float" else F.col("embedding").cast("array<double>")
+    rows = scratch.save(rows.select("vec_id", F.col("label").cast("long").alias("label"), vector.alias("embedding")).withColumn("row", F.monotonically_increasing_id()))
+    good = valid(rows)
+    classes = scratch.save(good.groupBy("label", F.col("embedding").alias("v")).agg(F.min("row").alias("id"), F.count("*").alias("n"), F.min("vec_id").alias("name")))
     found, counted = links(scratch, classes, threshold, shard, overlap, most_centers)
-    size = classes.select("id", "n")
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(size.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), F.col("n").alias("others"))
+    others = both.join(classes.select(F.col("id").alias("b"), "n"), "b").select(F.col("a").alias("id"), F.col("n").alias("others"))
     others = others.unionByName(counted.select("id", "others")).groupBy("id").agg(F.sum("others").alias("others"))
     groups = components(scratch, found.unionByName(counted.select(F.col("root").alias("a"), F.col("id").alias("b"))))
-    joined = member.join(others, "id", "left").join(groups, "id", "left").select("vec_id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    out = own.select("vec_id").join(joined, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    named = classes.select("label", "v", "id", "n", "name").join(others, "id", "left").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = scratch.save(named.select("label", "v", "name", "component", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
+    least = named.groupBy("component").agg(F.min("name").alias("component_id"))
+    of_class = named.join(least, "component").select(F.col("label").alias("_label"), "v", "n_links", "component_id")
+    linked = good.join(of_class, (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("v"))).select("vec_id", "n_links", "component_id")
+    alone = rows.where(~_can_link()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = scratch.save(linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+    scratch.keep(out)
+    return out
 
 
 def audit(rows: DataFrame, result_links: DataFrame, threshold: float = 0.93, every: int = 50) -> tuple[int, int]:

@@ -622,6 +622,31 @@ def test_vectors(spark):
     assert vector_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_vectors_repeated_ids(spark):
+    """Every row is a vector: ids that repeat or are null, doubles that no float holds, and extra columns."""
+    e = lambda k, by=1.0: [by if i == k else 0.0 for i in range(4)]
+    near = [1.0, 0.1, 0.0, 0.0]
+    rows = [(1, e(0, 1e-200), 5), (1, near, None), (1, near, 5), (7, e(0), 5), (None, e(0), 5), (None, e(2), 5), (3, e(2, 1e300), 5), (9, e(1), 5), (9, None, 5), (None, e(3), 6), (2, e(0), 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "0 AS id", "1 AS n", "2 AS row", "'x' AS name", "3 AS shard")
+    got = sorted((tuple(r) for r in vector_graph.near_duplicates(df).collect()), key=str)
+    want = [(1, 3, 1, True), (1, 0, 1, True), (1, 3, 1, True), (7, 3, 1, False), (None, 3, 1, False), (None, 1, 3, False), (3, 1, 3, True), (9, 0, 9, True), (9, 0, 9, True), (None, 0, None, True), (2, 0, 2, True)]
+    assert got == sorted(want, key=str)
+
+
+def test_crowded_shards_are_dealt_anew(spark):
+    """With few centers at first, shards are crowded; centers of their own keep them small and the links found."""
+    r = np.random.default_rng(13)
+    base = r.normal(size=(700, 24))
+    x = np.concatenate((base, base + r.normal(size=base.shape) * 0.1, base[:300] + r.normal(size=(300, 24)) * 0.1)).astype(np.float32)
+    rows = spark.createDataFrame([(k, v, 1, 1) for k, v in enumerate(x.tolist())], "id long, v array<float>, label long, n long")
+    found, counted = vector_graph.links(vector_graph.Scratch(spark, "test"), rows, 0.93, 100, 4, 24, levels=4)
+    u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    link = np.triu(u @ u.T >= 0.93, 1)
+    pairs = {(p["a"], p["b"]) for p in found.collect()}
+    assert pairs <= set(zip(*map(np.ndarray.tolist, np.nonzero(link)))) and len(pairs) >= 0.95 * link.sum() > 1000
+    assert counted.count() == 0  # nothing was left to compare in blocks
+
+
 def test_dense_vectors(spark):
     """Thousands of noisy near copies lose no link, beside other vectors that have few."""
     r = np.random.default_rng(11)

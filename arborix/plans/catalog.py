@@ -338,26 +338,49 @@ def html_reference_refs(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html_nodes.ordered_refs(F.col("html"), '<a href="/([^"]*)"').alias("refs")).where(F.size("refs") > 0)
 
 
-@query()
+def _plain_sql(x: str) -> str:
+    """Markup as text: tags go, the pages' character references are resolved, white space becomes one space."""
+    x = f"regexp_replace({x}, '</?[a-zA-Z][^>]*>', '', 'g')"
+    for reference, by in (("&middot;", "chr(183)"), ("&copy;", "chr(169)"), ("&quot;", "chr(34)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")):
+        x = f"replace({x}, '{reference}', {by})"
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+
+
+#: Records of pages from their markup by patterns. A paragraph without an end holds, in its <b>, all that follows in the article, so later paragraphs nest in it.
+_RECORDS = f"""cut AS (SELECT page_id, html, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS lis, string_split(regexp_extract(html, '(?s)</h1>(.*?)</article>', 1), '<p>')[2:] AS ps FROM pages),
+li AS (SELECT page_id, len(lis) AS n, unnest(lis) AS x, generate_subscripts(lis, 1) AS i FROM cut),
+p AS (SELECT page_id, len(lis) AS n, unnest(ps) AS x, generate_subscripts(ps, 1) AS i, ps FROM cut),
+own AS (SELECT *, NOT contains(x, '</p>') AS opens, CASE WHEN contains(x, '</p>') THEN string_split(x, '</p>')[1] ELSE array_to_string(ps[i:], '<p>') END AS body FROM p),
+nested AS (SELECT *, coalesce(sum(opens::INT) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM own),
+placed AS (SELECT *, row_number() OVER (PARTITION BY page_id, g ORDER BY i) AS k FROM nested),
+paths AS (SELECT a.*, coalesce((SELECT string_agg('p[' || b.k || ']/b[1]/', '' ORDER BY b.i) FROM placed b WHERE b.page_id = a.page_id AND b.opens AND b.i < a.i), '') AS above FROM placed a),
+rows AS (SELECT page_id, 'title' AS kind, 0 AS ord, 'title' AS id, NULL AS parent, 0 AS depth, 'title' AS name, {_plain_sql("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS text, 'html[1]/head[1]/title[1]' AS path FROM cut
+  UNION ALL SELECT page_id, 'item', i, 's000.' || lpad(i::VARCHAR, 3, '0'), 's000', 1, 'li', {_plain_sql("x")}, 'html[1]/body[1]/nav[1]/ul[1]/li[' || i || ']' FROM li
+  UNION ALL SELECT page_id, 'link', n + i, NULL, 's000', 0, {_plain_sql("regexp_extract(x, 'href=.([^>]*).>', 1)")}, {_plain_sql("x")}, 'html[1]/body[1]/nav[1]/ul[1]/li[' || i || ']/a[1]' FROM li
+  UNION ALL SELECT page_id, 'section', 2 * len(lis) + 1, 's001', NULL, 1, 'h1', {_plain_sql("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, 'html[1]/body[1]/article[1]/h1[1]' FROM cut
+  UNION ALL SELECT page_id, 'paragraph', 2 * n + 1 + row_number() OVER (PARTITION BY page_id ORDER BY i), NULL, 's001', 1, 'p', t, 'html[1]/body[1]/article[1]/' || above || 'p[' || k || ']' FROM (SELECT *, {_plain_sql("body")} AS t FROM paths) WHERE t <> '')"""
+
+
+@query(f"WITH {_RECORDS} SELECT page_id, kind, ord::INT AS ord, id, parent, depth, name, text, path, sha256(text) AS text_hash FROM rows")
 def html_nodes_all(spark, sf_dir):
     """PARSE-1 to PARSE-29: all records of all pages in one parse."""
     return html_nodes.extract(table(spark, sf_dir, "pages"))
 
 
-@query()
+@query(f"WITH {_RECORDS} SELECT page_id, parent AS section, count(*) FILTER (kind = 'paragraph') AS paragraphs, count(*) FILTER (kind = 'item') AS items, count(*) FILTER (kind = 'link') AS links FROM rows WHERE kind IN ('paragraph', 'item', 'link') GROUP BY 1, 2")
 def html_sections(spark, sf_dir):
     """PARSE-4, PARSE-5, PARSE-8: sections with what stands under them."""
     rows = html_nodes.extract(table(spark, sf_dir, "pages"))
     return rows.where(F.col("kind").isin("paragraph", "item", "cell", "link")).groupBy("page_id", F.substring("parent", 1, 4).alias("section")).agg(F.count_if(F.col("kind") == "paragraph").alias("paragraphs"), F.count_if(F.col("kind") == "item").alias("items"), F.count_if(F.col("kind") == "link").alias("links"))
 
 
-@query()
+@query(f"WITH {_RECORDS} SELECT page_id, ord::INT AS ord, kind, path FROM rows")
 def html_dom_paths(spark, sf_dir):
     """PARSE-21, PARSE-22."""
     return html_nodes.extract(table(spark, sf_dir, "pages")).select("page_id", "ord", "kind", "path")
 
 
-@query()
+@query(f"WITH {_RECORDS} SELECT page_id, ord::INT AS ord, text FROM rows WHERE kind = 'paragraph' AND NOT regexp_matches(text, '^(©|Expand|Close)')")
 def html_noise_strip(spark, sf_dir):
     """PARSE-13, FN-6."""
     rows = html_nodes.extract(table(spark, sf_dir, "pages")).where("kind = 'paragraph'")

@@ -32,7 +32,8 @@ class Element:
             yield e
             stack += [c for c in reversed(e.children) if isinstance(c, Element)]
 
-    def text(self, skip: frozenset = frozenset({"script", "style"})) -> str:
+    def text(self, skip: frozenset = frozenset({"script", "style"}), between: str = "") -> str:
+        """The texts below, with what stands between two of them; white space becomes one space."""
         out: list[str] = []
         stack: list = [self]
         while stack:
@@ -41,7 +42,7 @@ class Element:
                 out.append(e)
             elif e.name not in skip or e is self:
                 stack += reversed(e.children)
-        return " ".join("".join(out).split())
+        return " ".join(between.join(out).split())
 
     def path(self) -> str:
         """PARSE-21: tag[n] among siblings of one name, from the top."""
@@ -121,7 +122,7 @@ def records(page: str) -> list[tuple]:
             put("section", section, None, int(e.name[1]), e.name, e.text(), e.path())
         elif e.name == "a" and e.attributes.get("href") is not None:
             put("link", None, section, 0, e.attributes["href"], e.text(), e.path())
-        elif e.name == "p" and (text := e.text()):
+        elif e.name == "p" and (text := e.text(between=" ")):  # PARSE-16: words that only markup parts stay apart
             put("paragraph", None, section, 1, "p", text, e.path())
         elif e.name in ("ul", "ol") and not _inside(e, {"li"}):
             for row in _items(e, section):
@@ -158,7 +159,7 @@ def _items(ul: Element, section: str):
         top[3] += 1
         prefix, depth = top[1], top[2]
         own = f"{prefix}.{top[3]:03d}" if prefix else f"{section}.{top[3]:03d}"
-        text = li.text(frozenset({"ul", "ol", "script", "style", "img"}))
+        text = li.text(frozenset({"ul", "ol", "script", "style", "img"}), " ")
         if not text:
             continue
         yield "item", own, prefix or section, depth, "li", text, li.path()

@@ -338,9 +338,9 @@ def html_reference_refs(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html_nodes.ordered_refs(F.col("html"), '<a href="/([^"]*)"').alias("refs")).where(F.size("refs") > 0)
 
 
-def _plain_sql(x: str) -> str:
-    """Markup as text: tags go, the pages' character references are resolved, white space becomes one space."""
-    x = f"regexp_replace({x}, '</?[a-zA-Z][^>]*>', '', 'g')"
+def _plain_sql(x: str, between: str = "") -> str:
+    """Markup as text: tags go or become what stands between texts, the pages' character references are resolved, white space becomes one space."""
+    x = f"regexp_replace({x}, '</?[a-zA-Z][^>]*>', '{between}', 'g')"
     for reference, by in (("&middot;", "chr(183)"), ("&copy;", "chr(169)"), ("&quot;", "chr(34)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")):
         x = f"replace({x}, '{reference}', {by})"
     return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
@@ -355,10 +355,10 @@ nested AS (SELECT *, coalesce(sum(opens::INT) OVER (PARTITION BY page_id ORDER B
 placed AS (SELECT *, row_number() OVER (PARTITION BY page_id, g ORDER BY i) AS k FROM nested),
 paths AS (SELECT a.*, coalesce((SELECT string_agg('p[' || b.k || ']/b[1]/', '' ORDER BY b.i) FROM placed b WHERE b.page_id = a.page_id AND b.opens AND b.i < a.i), '') AS above FROM placed a),
 rows AS (SELECT page_id, 'title' AS kind, 0 AS ord, 'title' AS id, NULL AS parent, 0 AS depth, 'title' AS name, {_plain_sql("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS text, 'html[1]/head[1]/title[1]' AS path FROM cut
-  UNION ALL SELECT page_id, 'item', i, 's000.' || lpad(i::VARCHAR, 3, '0'), 's000', 1, 'li', {_plain_sql("x")}, 'html[1]/body[1]/nav[1]/ul[1]/li[' || i || ']' FROM li
+  UNION ALL SELECT page_id, 'item', i, 's000.' || lpad(i::VARCHAR, 3, '0'), 's000', 1, 'li', {_plain_sql("x", " ")}, 'html[1]/body[1]/nav[1]/ul[1]/li[' || i || ']' FROM li
   UNION ALL SELECT page_id, 'link', n + i, NULL, 's000', 0, {_plain_sql("regexp_extract(x, 'href=.([^>]*).>', 1)")}, {_plain_sql("x")}, 'html[1]/body[1]/nav[1]/ul[1]/li[' || i || ']/a[1]' FROM li
   UNION ALL SELECT page_id, 'section', 2 * len(lis) + 1, 's001', NULL, 1, 'h1', {_plain_sql("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, 'html[1]/body[1]/article[1]/h1[1]' FROM cut
-  UNION ALL SELECT page_id, 'paragraph', 2 * n + 1 + row_number() OVER (PARTITION BY page_id ORDER BY i), NULL, 's001', 1, 'p', t, 'html[1]/body[1]/article[1]/' || above || 'p[' || k || ']' FROM (SELECT *, {_plain_sql("body")} AS t FROM paths) WHERE t <> '')"""
+  UNION ALL SELECT page_id, 'paragraph', 2 * n + 1 + row_number() OVER (PARTITION BY page_id ORDER BY i), NULL, 's001', 1, 'p', t, 'html[1]/body[1]/article[1]/' || above || 'p[' || k || ']' FROM (SELECT *, {_plain_sql("body", " ")} AS t FROM paths) WHERE t <> '')"""
 
 
 @query(f"WITH {_RECORDS} SELECT page_id, kind, ord::INT AS ord, id, parent, depth, name, text, path, sha256(text) AS text_hash FROM rows")

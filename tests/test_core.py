@@ -143,6 +143,8 @@ def test_html(spark):
     assert [(i, t) for k, i, _, t in rows if k == "cell"] == [("0.0", "1"), ("0.1", "2")]
     assert [t for k, _, _, t in rows if k == "meta"] == ["2"]
     assert html_nodes.call_arguments("go(); pop('a, b', f(1,2), \"c\")", "pop") == ["a, b", "f(1,2)", "c"]
+    apart = html_nodes.records("<h1>a<b>b</b></h1><p>one.<br>two<i> three</i></p><p> <b></b> </p><ul><li>x<b>y</b><ul><li>z</li></ul></li></ul>")
+    assert [(r[0], r[6]) for r in apart] == [("section", "ab"), ("paragraph", "one. two three"), ("item", "x y"), ("item", "z")]
     assert html_nodes.call_arguments("none") is None
     assert html_nodes.extract(spark.createDataFrame([(1, None), (2, page)], "page_id long, html string")).count() == len(rows)
 

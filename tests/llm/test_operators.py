@@ -622,6 +622,15 @@ def test_vectors(spark):
     assert vector_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_audited_shards():
+    r = np.random.default_rng(14)
+    base = r.normal(size=(60, 32))
+    x = vector_graph._unit(np.concatenate((base, base[:1] + r.normal(size=(200, 32)) * 0.2)))
+    link = np.argwhere(np.triu(x @ x.T >= 0.93, 1))
+    for kept in (link, link[::2], link[:0]):
+        assert sorted(map(tuple, vector_graph.audited(x, kept, 0.93, step=16).tolist())) == sorted(map(tuple, link.tolist()))
+
+
 def test_vectors_repeated_ids(spark):
     """Every row is a vector: ids that repeat or are null, doubles that no float holds, and extra columns."""
     e = lambda k, by=1.0: [by if i == k else 0.0 for i in range(4)]

@@ -29,22 +29,36 @@ def _short(digits: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_replace(digits, "^0+", ""), F.lit("")), F.lit("0"))
 
 
+#: The characters whose upper case is longer than they are, such as ß.
+LONGER = r"[\u00DF\u0149\u01F0\u0390\u03B0\u0587\u1E96-\u1E9A\u1F50\u1F52\u1F54\u1F56\u1F80-\u1FAF\u1FB2-\u1FB4\u1FB6-\u1FB7\u1FBC\u1FC2-\u1FC4\u1FC6-\u1FC7\u1FCC\u1FD2-\u1FD3\u1FD6-\u1FD7\u1FE2-\u1FE4\u1FE6-\u1FE7\u1FF2-\u1FF4\u1FF6-\u1FF7\u1FFC\uFB00-\uFB06\uFB13-\uFB17]"
+
+
+def upper_in_place(x: Column) -> Column:
+    """Upper case in which every character keeps its place: one whose upper case is longer becomes U+FFFF, which is in no word."""
+    return F.upper(F.regexp_replace(x, LONGER, "\uffff"))
+
+
 def word_near_code(body: Column, code: Column, word: str = "ORG") -> Column:
     """FN-21: whether the word stands near a mention of the code (M and digits).
 
     Near a mention in any form of a code of three digits or more: from 48 characters before its start to 24 after; near the first place of one
-    of four spellings: from 40 characters before to 20 after its end. Nulls and other codes are not near anything."""
-    digits, upper = _digits(code), F.upper(F.coalesce(body, F.lit("")))
+    of four spellings: from 40 characters before to 20 after its end. Characters are those of the body as it stands, also where upper
+    case has more of them. Nulls and other codes are not near anything."""
+    digits = _digits(code)
     n, w = _short(digits), len(word)
     mention = F.concat(F.lit(r"(?<![A-Za-z0-9])M\s*-?\s*0*"), n, F.lit(r"(?!\d)"))
     before, after = F.concat(F.lit(rf"(?s){word}.{{0,{48 - w}}}"), mention), F.concat(F.lit(rf"(?s)(?=.{{0,{24 - w}}}{word})"), mention)
     normal = (digits == F.when(F.length(n) < 3, F.lpad(n, 3, "0")).otherwise(n)) & (F.length(n) <= 5)
-    found = normal & (F.rlike(upper, before) | F.rlike(upper, after))
-    for spelling in (F.upper(code), F.concat(F.lit("M-"), digits), F.concat(F.lit("M-"), n), digits):
-        at = F.position(spelling, upper)
-        first = F.greatest(F.lit(1), at - 40)
-        found = found | ((at > 0) & F.substr(upper, first, at + F.length(spelling) + 20 - first).contains(word))
-    return F.coalesce((digits != "") & upper.contains(word) & found, F.lit(False))
+
+    def near(upper: Column) -> Column:
+        found = normal & (F.rlike(upper, before) | F.rlike(upper, after))
+        for spelling in (F.upper(code), F.concat(F.lit("M-"), digits), F.concat(F.lit("M-"), n), digits):
+            at = F.position(spelling, upper)
+            first = F.greatest(F.lit(1), at - 40)
+            found = found | ((at > 0) & F.substr(upper, first, at + F.length(spelling) + 20 - first).contains(word))
+        return F.coalesce((digits != "") & upper.contains(word) & found, F.lit(False))
+
+    return F.get(F.transform(F.array(upper_in_place(F.coalesce(body, F.lit("")))), near), F.lit(0))  # the upper case is made once
 
 
 def code_markers(text: Column, code: Column) -> Column:

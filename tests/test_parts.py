@@ -110,6 +110,15 @@ def test_word_near_code(spark):
     assert values(spark, m.word_near_code(F.col("a"), F.col("b")), *rows) == [True, True, False, True, False, True, True, False, False, False, False, True, False]
 
 
+def test_word_near_code_counts_characters(spark):
+    """Letters whose upper case is longer take one place each, before a code and after it."""
+    rows = [(f"ORG {'ß' * 40} M-083", "M083", ""), (f"ORG {'.' * 40} M-083", "M083", ""), (f"M-083 {'ﬃ' * 14} ORG", "M083", ""), (f"ORG {'ß' * 45} M-083", "M083", ""), (f"ﬀ{'ß' * 9}M 083 ORG", "M083", "")]
+    assert values(spark, m.word_near_code(F.col("a"), F.col("b")), *rows) == [True, True, True, False, True]
+    points = spark.range(1, 0x110000).where("id < 55296 OR id > 57343").selectExpr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32') AS c")
+    assert points.where(F.length(m.upper_in_place(F.col("c"))) != F.length("c")).count() == 0
+    assert points.where(F.col("c").rlike(m.LONGER) & (F.length(F.upper("c")) == 1)).count() == 0
+
+
 def test_markers(spark):
     rows = [("ORG: M-083 and M 83", "m083", "T"), ("M0831", "M083", ""), ("a m0 83 b", "M083", None), (None, "M083", "x"), ("X-1 (y)", "x-1 (y)", ""), ("M5", "M005", "")]
     assert values(spark, m.code_markers(F.col("a"), F.col("b")), *rows) == [["ORG: M-083", "M token 083", "M token 83"], ["literal M083"], ["literal M083"], [], [], ["M token 5"]]

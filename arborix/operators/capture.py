@@ -129,14 +129,16 @@ def _times(text: Column, needle: str) -> Column:
     return F.floor((F.length(text) - F.length(F.replace(text, F.lit(needle), F.lit("")))) / len(needle)).cast("long")
 
 
-def page_audit(pages: DataFrame, key: str, terms: dict[str, list[str]] = PAGE_TERMS, wanted: str = "hemodynamic|instability", examples: int = 40) -> DataFrame:
+def page_audit(pages: DataFrame, key: str, terms: dict[str, list[str]] = PAGE_TERMS, wanted: str = "hemodynamic|instability", examples: int = 40, kinds: tuple[str, ...] | None = None) -> DataFrame:
     """VAL-34: what the html of each page (key, html, manifest_error) shows of popups that were not opened.
 
     Counts of needles, hidden styles, dialogs, frames and onclick; a flag for each term; the triggers' number and first texts;
-    whether a trigger that hints at a popup names what is wanted; and the likely mechanism: overlays (triggers, but no definition's title),
+    whether a trigger that hints at a popup (of those types only, if kinds are given) names what is wanted; and the likely mechanism: overlays (triggers, but no definition's title),
     not_inlined (no trigger), inspect (both), unknown (null html, which is warned of). Keys must be distinct."""
     low = F.lower(F.coalesce("html", F.lit("")))
     hint = F.lower(F.concat_ws(" ", "href", "onclick", "class", "title")).rlike(f"(?i){HINT.pattern}")
+    if kinds is not None:
+        hint = hint & F.col("popup_type").isin(*kinds)
     found = page_parts(pages.select(key, "html")).where("part = 'trigger'").select(key, "nth", "text", (F.lower("text").rlike(wanted) & hint).alias("named"))
     of_page = found.groupBy(F.col(key).alias("_key")).agg(
         F.count("*").alias("trigger_count"), F.bool_or("named").alias("wanted_trigger_found"), F.transform(F.array_sort(F.collect_list(F.when(F.col("nth") < examples, F.struct("nth", "text")))), lambda x: x["text"]).alias("trigger_examples")

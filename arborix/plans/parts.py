@@ -13,8 +13,10 @@ _A = '<a href="/([^"]*)">([^<]*)</a>'
 
 
 def _with_triggers(spark, sf_dir):
-    """All pages, their links by first letter: definitions, citations, footnotes, contexts; others stay links."""
-    html = F.col("html")
+    """All pages, their links by first letter: definitions, citations, footnotes, contexts; others stay links.
+
+    Their texts show the links' markup as it is written, so references in it are no references here."""
+    html = F.replace("html", F.lit("&"), F.lit("&amp;"))
     for letters, to in (
         ("[a-d]", r"""<a href="/$1" onclick="popup_definition('$1', 'About $1')">$2</a>"""),
         ("[e-h]", r"""<a href="#" class="x  y" onclick="return popup_citation(1, 'it\\'s $1, (so)', go(2, 3), )">$2</a>"""),

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from arborix.operators import capture as o
 from arborix.plans import capture, catalog
@@ -76,6 +77,21 @@ def test_page_audit(spark):
     assert [got[k]["warnings"] for k in (2, 3, 5)] == [["no manifest"], ["expanded_html_missing"], []]
 
 
+def test_page_query_kinds_and_references(spark, tmp_path):
+    """A page whose only link with a wanted name is one to a context, and links with references: as the SQL has them. The operator counts every type unless told."""
+    links = [["reshon"], ["reshon", "of", "anon"], ["the"], ["ofon&amp;&amp;", "of&lt;"], ["&amp"], []]
+    page = lambda xs: "<nav><ul>" + "".join(f'<li><a href="/{x}">{x}</a></li>' for x in xs) + "</ul></nav>"
+    spark.createDataFrame([(k, page(xs)) for k, xs in enumerate(links)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = duck.execute(catalog.SQL["page_capture_audit"])
+    columns = [d[0] for d in want.description]
+    got = catalog.QUERIES["page_capture_audit"](spark, str(tmp_path)).select(*columns).collect()
+    assert len(got) == 6 and sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
+    named = lambda **more: o.page_audit(capture._with_triggers(spark, str(tmp_path)).withColumn("manifest_error", F.lit("")), "page_id", wanted="on|th", **more).where("wanted_trigger_found").count()
+    assert (named(), named(kinds=("footnote",))) == (3, 1)
+
+
 def test_best_link(spark):
     rows = [(["M-0083 RRG", None, "xM 83"], 83, False, "xM 83"), (["M83 r r-R RG", "m 083"], 83, True, "M83 r r-R RG"), (["M-8", "M-830"], 83, True, None), ([], 83, True, None), (None, 83, True, None)]
     df = spark.createDataFrame([(k, t, n, v) for k, (t, n, v, _) in enumerate(rows)], "k int, texts array<string>, n int, v boolean").selectExpr("*", "transform(texts, x -> named_struct('text', x)) AS links")

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.package import settled
+from ..sources.package import settled, stored
 
 
 def prefix_sums(df: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
@@ -102,26 +102,119 @@ def discover_paths(nodes: DataFrame) -> DataFrame:
 MARKERS = {"domain": ("Cycle skipped: ", "Missing logic node: "), "shared": ("Shared cycle skipped: ", "Missing shared child: ")}
 
 
+def _prepared(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes with whether edges lead on in their graph (`on`) and into another (`away`), and edges by the node that they leave."""
+    below = stored(edges.select("graph", F.col("parent").alias("id"), "to_graph", "child", "pos"))
+    leads = below.groupBy("graph", "id").agg(F.bool_or(F.col("to_graph") == F.col("graph")).alias("on"), F.bool_or(F.col("to_graph") != F.col("graph")).alias("away"))
+    return stored(nodes.select("graph", "id", F.coalesce("label", F.lit("")).alias("label")).join(leads, ["graph", "id"], "left")), below
+
+
+def _walk(start: DataFrame, key: list[str], known: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All that occurs from start (key, place, depth, graph, id) without leaving a graph, as (key, place, depth, graph, id, kind, label), and
+    the edges that leave it, as (key, place, depth, graph, id) of what they lead to."""
+    level, found = start.withColumn("above", F.array().cast("array<string>")), None
+    columns = [*key, "place", "depth", "graph", "id"]
+    while True:
+        kind = F.when(F.array_contains("above", F.col("id")), "cycle").when(F.col("label").isNull(), "missing").otherwise("node")
+        on = F.coalesce((kind == "node") & F.col("on"), F.lit(False))
+        level = level.join(known, ["graph", "id"], "left").select(*columns, kind.alias("kind"), "label", "away", on.alias("on"), F.when(on, F.col("above")).alias("above"))
+        level = stored(level)
+        found = level if found is None else found.unionByName(level)
+        going = level.where("on")
+        if going.isEmpty():
+            break
+        graphs = [r["graph"] for r in going.select("graph").distinct().collect()]  # a domain's and the shared one
+        inner = below.where(F.col("graph").isin(*graphs) & (F.col("to_graph") == F.col("graph")))
+        level = going.select(*columns, "above").join(inner, ["graph", "id"]).select(*key, F.concat("place", F.array("pos")).alias("place"), (F.col("depth") + 1).alias("depth"), "graph", F.col("child").alias("id"), F.concat("above", F.array("id")).alias("above"))
+    left = found.where("kind = 'node' AND away").select(*columns).join(below.where(F.col("to_graph") != F.col("graph")), ["graph", "id"])
+    out = stored(left.select(*key, F.concat("place", F.array("pos")).alias("place"), (F.col("depth") + 1).alias("depth"), F.col("to_graph").alias("graph"), F.col("child").alias("id")))
+    return found.select(*columns, "kind", "label"), out
+
+
+def _entered(nodes: DataFrame, edges: DataFrame, roots: DataFrame):
+    """Walks that occurrences are put together from: first (None, found, exits) with the key `root`, then for every crossing from one graph to another
+    the list of (found, exits) with the key (in_graph, in_id) that the last exits lead into.
+
+    What follows a crossing does not depend on what stands above it, so it is walked once for each node that is entered."""
+    known, below = _prepared(nodes, edges)
+    found, exits = _walk(roots.select(F.col("id").alias("root"), F.array("pos").alias("place"), F.lit(0).alias("depth"), "graph", "id"), ["root"], known, below)
+    yield [(found, exits)]
+    at, walks = ["graph", "id"], []
+    reach = stored(exits.select(*at).distinct())
+    while not reach.isEmpty():
+        met, fresh = [], reach
+        for w in walks:
+            if not reach.join(w[0], at, "left_semi").isEmpty():
+                met.append(w)
+            fresh = fresh.join(w[0], at, "left_anti")
+        fresh = stored(fresh)
+        if not fresh.isEmpty():
+            start = fresh.select(F.col("graph").alias("in_graph"), F.col("id").alias("in_id"), F.array().cast("array<bigint>").alias("place"), F.lit(0).alias("depth"), *at)
+            walks.append((fresh, *_walk(start, ["in_graph", "in_id"], known, below)))
+            met.append(walks[-1])
+        going = [(found, None if exits.isEmpty() else exits) for _, found, exits in met]
+        yield going
+        reach, before = None, reach.select(F.col("graph").alias("in_graph"), F.col("id").alias("in_id"))
+        for _, exits in going:
+            if exits is not None:
+                more = exits.join(before, ["in_graph", "in_id"], "left_semi").select(*at)
+                reach = more if reach is None else reach.unionByName(more)
+        if reach is None:
+            return
+        reach = stored(reach.distinct())
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 def occurrences(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """TREE-19, ORC-5: every occurrence of a node under the roots, as (root, place, depth, graph, id, kind, line).
 
     nodes (graph, id, label), edges (graph, parent, to_graph, child, pos), roots (graph, id, pos). A node with several parents occurs under each
     of them. An id that stands above itself is a `cycle`, one without a node `missing`; both end there. An edge into the other graph
     starts anew, as a shared definition is guarded on its own. `place` (the positions from the root down) is the rendering's
-    order. Only the last level's rows are joined, so work is in proportion to the occurrences."""
-    known = nodes.select("graph", "id", F.coalesce("label", F.lit("")).alias("label"))
-    below = edges.select("graph", F.col("parent").alias("id"), "to_graph", "child", "pos")
-    level = roots.select(F.col("id").alias("root"), F.array("pos").alias("place"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("above"), "graph", "id")
-    out, marks = None, [F.create_map(*(F.lit(x) for g, m in MARKERS.items() for x in (g, m[k]))) for k in (0, 1)]
-    while True:
-        kind = F.when(F.array_contains("above", F.col("id")), "cycle").when(F.col("label").isNull(), "missing").otherwise("node")
-        line = F.when(kind == "node", F.col("label")).otherwise(F.concat(F.when(kind == "cycle", marks[0][F.col("graph")]).otherwise(marks[1][F.col("graph")]), "id"))
-        level = settled(level.join(known, ["graph", "id"], "left").select("root", "place", "depth", "above", "graph", "id", kind.alias("kind"), line.alias("line")))
-        if out is not None and level.isEmpty():
-            return out.drop("above")
-        out = level if out is None else out.unionByName(level)
-        above = F.when(F.col("to_graph") == F.col("graph"), F.concat("above", F.array("id"))).otherwise(F.array().cast("array<string>"))
-        level = level.where("kind = 'node'").join(below, ["graph", "id"]).select("root", F.concat("place", F.array("pos")).alias("place"), (F.col("depth") + 1).alias("depth"), above.alias("above"), F.col("to_graph").alias("graph"), F.col("child").alias("id"))
+    order. What a crossing leads into is walked once and joined to all crossings as the result is read, so only the walks and the
+    crossings are stored, not what occurs below each crossing."""
+    entered = _entered(nodes, edges, roots)
+    found, level = next(entered)[0]
+    out, columns = [found], ["root", "place", "depth", "graph", "id", "kind", "label"]
+    for walks in entered:
+        tops = level.select("root", F.col("place").alias("_place"), F.col("depth").alias("_depth"), F.col("graph").alias("in_graph"), F.col("id").alias("in_id"))
+        under = lambda x: tops.join(x, ["in_graph", "in_id"]).withColumn("place", F.concat("_place", "place")).withColumn("depth", F.col("_depth") + F.col("depth"))  # noqa: B023, E731
+        out += [under(f).select(*columns) for f, _ in walks]
+        further = [under(x).select(*columns[:5]) for _, x in walks if x is not None]
+        level = _united(further) if further else None
+    marks = [F.create_map(*(F.lit(x) for g, m in MARKERS.items() for x in (g, m[k]))) for k in (0, 1)]
+    line = F.when(F.col("kind") == "node", F.col("label")).otherwise(F.concat(F.when(F.col("kind") == "cycle", marks[0][F.col("graph")]).otherwise(marks[1][F.col("graph")]), "id"))
+    return _united(out).select(*columns[:6], line.alias("line"))
+
+
+def occurrence_counts(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """How many occurrences of each kind in each graph every root has, and how deep the deepest is: (root, graph, kind, deepest, n).
+
+    Crossings into the same node are counted together, as what follows them is alike; no occurrence below them is made."""
+    flat = lambda df: df.withColumn("pos", F.lit(None).cast("bigint"))
+    entered = _entered(nodes.withColumn("label", F.lit("")), flat(edges), flat(roots))
+    found, exits = next(entered)[0]
+    n, at = F.count("*").alias("n"), ["in_graph", "in_id"]
+    out = [found.groupBy("root", "graph", "kind").agg(F.max("depth").alias("deepest"), n)]
+    level = exits.groupBy("root", F.col("graph").alias("in_graph"), F.col("id").alias("in_id")).agg(F.max("depth").alias("_deepest"), F.count("*").alias("_n"))
+    for walks in entered:
+        level = stored(level)
+
+        def under(x, by):
+            rows = level.join(x.groupBy(*at, *by).agg(F.max("depth").alias("d"), n), at)  # noqa: B023
+            return rows.groupBy("root", *by).agg(F.max(F.col("_deepest") + F.col("d")).alias("deepest"), F.sum(F.col("_n") * F.col("n")).alias("n"))
+
+        out += [under(f, ["graph", "kind"]) for f, _ in walks]
+        further = [under(x, ["graph", "id"]) for _, x in walks if x is not None]
+        if further:
+            level = _united(further).groupBy("root", F.col("graph").alias("in_graph"), F.col("id").alias("in_id")).agg(F.max("deepest").alias("_deepest"), F.sum("n").alias("_n"))
+    return _united(out).groupBy("root", "graph", "kind").agg(F.max("deepest").alias("deepest"), F.sum("n").alias("n"))
 
 
 def crawl(links: DataFrame, starts: DataFrame, most: int, most_leaves: int) -> DataFrame:

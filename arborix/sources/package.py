@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -27,11 +28,8 @@ def ship(spark: SparkSession) -> None:
     sc._arborix_shipped = True
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, computed and cut from its lineage by a checkpoint in the folder the cluster names in spark.checkpoint.dir.
-
-    A temporary folder is set only where none is named and all tasks run on this machine."""
-    spark = df.sparkSession
+def _shared_dir(spark: SparkSession) -> str:
+    """Sees to it that there is a checkpoint folder. A temporary one is set only where none is named and all tasks run on this machine."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         where = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,4 +38,17 @@ def settled(df: DataFrame) -> DataFrame:
                 raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             where = "file://" + tempfile.mkdtemp(prefix="arborix-")
         sc.setCheckpointDir(where)
+    return sc.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, computed and cut from its lineage by a checkpoint in the folder the cluster names in spark.checkpoint.dir."""
+    _shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As settled, but as Parquet, in columns and compressed: for large tables of which later steps read some columns only."""
+    path = f"{_shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -76,6 +76,70 @@ def test_occurrences(spark):
     assert lines == ["Root", "  A", *("    " + x for x in box), "    Cycle skipped: r", "  ", "    A", *("      " + x for x in box), "      Cycle skipped: r", "    Missing logic node: gone", "Missing logic node: none"]
 
 
+def by_hand(nodes, edges, roots):
+    """One occurrence after the other."""
+    labels, rows = {(g, i): x or "" for g, i, x in nodes}, []
+    stack = [(i, (p,), 0, (), g, i) for g, i, p in roots]
+    while stack:
+        root, place, depth, above, graph, i = stack.pop()
+        kind = "cycle" if i in above else "node" if (graph, i) in labels else "missing"
+        rows.append((root, place, depth, graph, i, kind, labels[graph, i] if kind == "node" else g.MARKERS[graph][kind == "missing"] + i))
+        if kind == "node":
+            stack += [(root, (*place, p), depth + 1, (*above, i) if to == graph else (), to, c) for a, b, to, c, p in edges if (a, b) == (graph, i)]
+    return sorted(rows)
+
+
+def test_occurrences_of_random_graphs(spark):
+    """Cycles, missing nodes and several ways into the same shared nodes: as by hand, and so are the counts."""
+    r = random.Random(4)
+    nodes = [(x, f"{x[0]}{k}", r.choice([None, f"{x} {k}"])) for x in ("domain", "shared") for k in range(9) if k < 6 or r.random() < 0.7]
+    edges = [(x, f"{x[0]}{k}", x, f"{x[0]}{r.randrange(9)}", n) for x in ("domain", "shared") for k in range(9) for n in range(r.randrange(1, 3))]
+    edges += [("domain", f"d{k}", "shared", f"s{r.randrange(9)}", 9 + n) for k in range(9) for n in range(r.randrange(3))]
+    roots = [("domain", "d0", 0), ("domain", "d1", 1), ("shared", "s2", 2), ("domain", "gone", 3)]
+    want = by_hand(nodes, edges, roots)
+    t = lambda rows, schema: spark.createDataFrame(rows, schema)
+    tables = t(nodes, "graph string, id string, label string"), t(edges, "graph string, parent string, to_graph string, child string, pos long"), t(roots, "graph string, id string, pos long")
+    got = sorted((x["root"], tuple(x["place"]), *x[2:]) for x in g.occurrences(*tables).collect())
+    assert got == want and len(want) > 80 and {x[5] for x in want} == {"node", "cycle", "missing"}
+    counts = {}
+    for root, _, depth, graph, _, kind, _ in want:
+        d, n = counts.get((root, graph, kind), (0, 0))
+        counts[root, graph, kind] = max(d, depth), n + 1
+    assert {(x["root"], x["graph"], x["kind"]): (x["deepest"], x["n"]) for x in g.occurrence_counts(*tables).collect()} == counts
+
+
+def test_what_a_crossing_leads_into_is_stored_once(spark, tmp_path, monkeypatch):
+    """Of 50 crossings into one node with 40 below it, nothing is kept for each crossing and each node below."""
+    kept = []
+
+    def counted(keep):
+        return lambda df: kept.append((out := keep(df)).count()) or out
+
+    for name in ("settled", "stored"):
+        if hasattr(g, name):
+            monkeypatch.setattr(g, name, counted(getattr(g, name)))
+    nodes = [("domain", "r", "")] + [("domain", f"d{k}", "") for k in range(50)] + [("shared", f"s{k}", "") for k in range(10)]
+    edges = [("domain", "r", "domain", f"d{k}", k) for k in range(50)] + [("domain", f"d{k}", "shared", f"s{n}", n) for k in range(50) for n in range(10)]
+    edges += [("shared", f"s{k}", "shared", f"s{n}", n) for k in range(10) for n in (k + 1, k + 2) if n < 10]
+    t = lambda rows, schema: spark.createDataFrame(rows, schema)
+    tables = t(nodes, "graph string, id string, label string"), t(edges, "graph string, parent string, to_graph string, child string, pos long"), t([("domain", "r", 0)], "graph string, id string, pos long")
+    ways = [1, 2]
+    for _ in range(8):
+        ways.append(1 + ways[-1] + ways[-2])
+    assert g.occurrences(*tables).count() == 51 + 50 * sum(ways) and sum(kept) < 3000 < 50 * sum(ways)
+    kept.clear()
+    assert {(x["graph"], x["n"]) for x in g.occurrence_counts(*tables).collect()} == {("domain", 51), ("shared", 50 * sum(ways))} and sum(kept) < 3000
+
+
+def test_crossings_there_and_back(spark):
+    """A node that is entered twice on one way, with two crossings."""
+    nodes = [(x, i, i) for x, i in (("domain", "r"), ("domain", "a"), ("shared", "s"), ("shared", "u"), ("domain", "z"))]
+    edges = [("domain", "r", "shared", "s", 1), ("domain", "r", "shared", "u", 2), ("shared", "u", "domain", "a", 1), ("shared", "s", "domain", "z", 4), ("domain", "a", "shared", "s", 3), ("domain", "a", "shared", "s", 5)]
+    t = lambda rows, schema: spark.createDataFrame(rows, schema)
+    got = g.occurrences(t(nodes, "graph string, id string, label string"), t(edges, "graph string, parent string, to_graph string, child string, pos long"), t([("domain", "r", 0)], "graph string, id string, pos long")).collect()
+    assert sorted((x["root"], tuple(x["place"]), *x[2:]) for x in got) == by_hand(nodes, edges, [("domain", "r", 0)])
+
+
 def crawl_by_hand(links, starts, most, most_leaves):
     """First in, first out, one page after the other."""
     queue, seen, leaves = [(u, 0, None) for u in starts], {}, {}

@@ -104,7 +104,7 @@ def graph_occurrences(spark, sf_dir):
 @query(f"{_OCCURS} SELECT root, graph, CASE WHEN cycle THEN 'cycle' WHEN there THEN 'node' ELSE 'missing' END AS kind, max(depth) AS deepest, count(*) AS n FROM walk GROUP BY ALL")
 def graph_occurrence_counts(spark, sf_dir):
     """TREE-19: how often what occurs under each nation."""
-    return graph.occurrences(*_parts(spark, sf_dir)).groupBy("root", "graph", "kind").agg(F.max("depth").alias("deepest"), F.count("*").alias("n"))
+    return graph.occurrence_counts(*_parts(spark, sf_dir))
 
 
 # ---- crawl -----------------------------------------------------------------------------------------------------

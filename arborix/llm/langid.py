@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hash_bucket, mix, portions, texts_of
@@ -109,23 +109,15 @@ def _size(found: tuple[np.ndarray, np.ndarray]) -> int:
     return int(found[1].sum() ** 2 // (found[1].astype(np.int64) ** 2).sum()).bit_length()
 
 
-def _sample(docs: DataFrame, per_lang: int) -> DataFrame | None:
-    """Rows with a lang and a text, of each lang about per_lang at most; None if there are none."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
-    if not counts:
-        return None
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_lang / n)))])
-    return rows.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1).cast("double") < share[F.col("lang")] * float(1 << 63))
+def _learned(docs: DataFrame) -> DataFrame:
+    """The rows that teach: those with a lang and a text."""
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
-def fit(docs: DataFrame, per_lang: int = 4000) -> tuple[list[str], np.ndarray]:
-    """Prototypes from rows (doc_id, text, lang) with a lang; of each lang about `per_lang` rows at most, taken by a hash of doc_id.
+def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Prototypes from all rows (text, lang) with a lang and a text.
 
-    The sample bounds the work of learning, not what is scored."""
-    taken = _sample(docs, per_lang)
-    if taken is None:
-        return [], np.zeros((0, DIMS))
+    A task sums its unit vectors by language, so what is shuffled is a vector for each task and language."""
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
@@ -135,7 +127,7 @@ def fit(docs: DataFrame, per_lang: int = 4000) -> tuple[list[str], np.ndarray]:
                     sums[lang] = sums.get(lang, 0) + v.astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))], ["lang", "v"])
 
-    parts = taken.select("lang", "text").mapInArrow(bundle, "lang string, v array<double>")
+    parts = _learned(docs).select("lang", "text").mapInArrow(bundle, "lang string, v array<double>")
     dims = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x"))
     got = dims.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("v")).orderBy("lang").collect()
     names = [r["lang"] for r in got]
@@ -162,20 +154,23 @@ def predict(docs: DataFrame, names: list[str], protos: np.ndarray, held_out=None
     return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def floors(docs: DataFrame, names: list[str], protos: np.ndarray, least: float, low: float = 0.001, slack: float = 0.8, enough: int = 10, per_lang: int = 4000) -> list[float]:
-    """The least cosine that a text of each size class needs: slack times the low quantile of the learned texts of that class.
+def floors(docs: DataFrame, names: list[str], protos: np.ndarray, least: float, low: float = 0.001, slack: float = 0.8, enough: int = 10) -> list[float]:
+    """The least cosine that a text of each size class needs: slack times the low quantile of all learned texts of that class.
 
-    A class of fewer than `enough` learned texts takes the next shorter one's, the shortest take `least`."""
-    taken = _sample(docs, per_lang) if len(names) else None
+    Texts are counted by cosines cut to four places, so no class is gathered in one task; the quantile is the cut cosine of the text of
+    that rank. A class of fewer than `enough` learned texts takes the next shorter one's, the shortest take `least`."""
     found: dict[int, tuple[int, float]] = {}
-    if taken is not None:
+    if len(names):
 
         def score(batches):
             for batch in portions(batches):
-                texts = [(t, v) for t in texts_of(batch) if (v := vector(t)) is not None]
-                yield pa.RecordBatch.from_arrays([pa.array([size_class(t) for t, _ in texts], pa.int32()), pa.array([float((protos @ v.astype(np.float64)).max()) for _, v in texts], pa.float64())], ["size", "cosine"])
+                texts = [(t, g, v) for t in texts_of(batch) if (g := _trigrams(t)) is not None and (v := vector(t, g)) is not None]
+                yield pa.RecordBatch.from_arrays([pa.array([_size(g) for _, g, _ in texts], pa.int32()), pa.array([float((protos @ v.astype(np.float64)).max()) for _, _, v in texts], pa.float64())], ["size", "cosine"])
 
-        rows = taken.select("text").mapInArrow(score, "size int, cosine double").groupBy("size").agg(F.count("*").alias("n"), F.percentile("cosine", low).alias("q"))
+        cells = _learned(docs).select("text").mapInArrow(score, "size int, cosine double").groupBy("size", F.floor(F.col("cosine") * 10000).alias("cell")).agg(F.count("*").alias("c"))
+        of_class = Window.partitionBy("size")
+        ranked = cells.withColumn("n", F.sum("c").over(of_class)).withColumn("upto", F.sum("c").over(of_class.orderBy("cell")))  # at most 20,001 cells a class
+        rows = ranked.where(F.col("upto") > (F.col("n") - 1) * low).groupBy("size").agg(F.first("n").alias("n"), (F.min("cell") / 10000).alias("q"))
         found = {r["size"]: (r["n"], r["q"]) for r in rows.collect()}  # a row for each size class
     out = [least]
     for k in range(1, 33):

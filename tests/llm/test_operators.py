@@ -384,6 +384,24 @@ def test_boosting():
     assert ((model.score(x[1000:]) > 0.5) == y[1000:]).mean() > 0.93
 
 
+def test_language_learns_from_every_row(spark):
+    """Prototypes and the least cosines are those of all 6,000 rows of a language, none left out."""
+    r = random.Random(2)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(r.randrange(3, 12))) + "z" for _ in range(6000)]
+    docs = docs_of(spark, [*texts, None, "!"])
+    names, protos = langid.fit(docs.repartition(5))
+    whole = np.sum([langid.vector(t).astype(np.float64) for t in texts], axis=0)
+    assert names == ["en"] and np.allclose(protos[0], whole / np.linalg.norm(whole), atol=1e-12)
+    classes = {}
+    for t in texts:
+        classes.setdefault(langid.size_class(t), []).append(float(protos[0] @ langid.vector(t).astype(np.float64)))
+    got = langid.floors(docs, names, protos, 0.0, low=0.05, slack=1.0)
+    for k, found in classes.items():
+        if len(found) >= 10:
+            assert got[k] <= sorted(found)[int(0.05 * (len(found) - 1))] < got[k] + 2e-4, k
+    assert max(map(len, classes.values())) > 1000
+
+
 def test_language(spark):
     import pyarrow.parquet as pq
 
